@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("wavelet", "pieces")
+MODULES = ("wavelet", "pieces", "toxicity")
 
 
 def queries() -> dict:
