@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("wavelet", "pieces", "toxicity")
+MODULES = ("wavelet", "pieces", "warc", "jpeg", "toxicity")
 
 
 def queries() -> dict:
