@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("wavelet", "html", "pieces", "warc", "jpeg", "toxicity")
+MODULES = ("wavelet", "html", "pieces", "warc", "jpeg", "toxicity", "pii")
 
 
 def queries() -> dict:
