@@ -62,7 +62,7 @@ FEATURES = [
     r"int(lower({b}) rlike '(?:ssn|social security|iban|account|acct|passport|tax id|identity)[a-z]*[\\s:.=#-]*(?:no |number |is )*[\\s:.=#-]*$')",
     r"int({b} rlike '[0-9A-Za-z_/=-]$')",
     r"int({a} rlike '^[0-9A-Za-z_/=]')",
-    r"int(lower({b}) rlike '\\\\b(?:isbn|version|section|order|invoice|part|page|serial|item|ref|sku|date|clause|act)[a-z]*[\\s:.=#-]*(?:no |number )?[\\s:.=#-]*$')",
+    r"int(lower({b}) rlike '\\b(?:isbn|version|section|order|invoice|part|page|serial|item|ref|sku|date|clause|act)[a-z]*[\\s:.=#-]*(?:no |number )?[\\s:.=#-]*$')",
     r"int({t} rlike '(?i)(?:com|org|net|edu|gov|io|de|fr|es|uk|au)$')",
     r"int({t} rlike '^[(]|^00|^[0-9]{{3}}[. -][0-9]{{3}}[. -][0-9]{{4}}$')",
 ]
