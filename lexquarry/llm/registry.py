@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("secrets", "wavelet", "html", "pieces", "warc", "jpeg", "toxicity", "pii")
+MODULES = ("secrets", "wavelet", "html", "pieces", "warc", "jpeg", "toxicity", "neardup", "pii")
 
 
 def queries() -> dict:
