@@ -86,7 +86,7 @@ def labelled(spark: SparkSession, rows: int = TRAIN_ROWS) -> DataFrame:
     base = spark.sql(f"select cast(id as int) id, sha2(concat('pii', id), 256) h, cast(element_at(array(0, 2, 3, 4), cast(1 + id div 7 % 4 as int)) as int) k, cast(id % 2 as int) label from range(0, {rows}, 1, 4)")
     return base.selectExpr(
         "k", "label", "id div 28 % 3 = 0 held",
-        f"case when label = 1 then {case(good)} when id % 6 = 1 then {case(good)} when k = 0 then 'x [at] y [dot] zz' else concat(substr(translate(h, 'abcdef', '123456'), 1, 3), '.', substr(translate(h, 'abcdef', '123456'), 4, 3), '.', substr(translate(h, 'abcdef', '123456'), 7, 4)) end t",
+        f"case when label = 1 then {case(good)} when id % 6 = 2 then {case(good)} when k = 0 then 'x [at] y [dot] zz' else concat(substr(translate(h, 'abcdef', '123456'), 1, 3), '.', substr(translate(h, 'abcdef', '123456'), 4, 3), '.', substr(translate(h, 'abcdef', '123456'), 7, 4)) end t",
         f"concat({word}, ' ', if(label = 1, element_at({case(hint)}, cast(1 + id div 2 % 3 as int)), if(id div 2 % 3 = 0, concat({word}, ' '), element_at({bad_hint}, cast(1 + id div 2 % 6 as int))))) b",
         f"concat(' ', {word}) a",
     )
