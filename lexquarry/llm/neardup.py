@@ -10,14 +10,15 @@ the groups, named by their smallest doc_id.
    the slots and ranks them j + u; elements are drawn in step, one rank at a time, and a document's drawing stops early once
    each slot holds a value below the next rank.
 2. Documents of equal sets form a class; only one of a class goes on, so copies cost nothing more.
-3. Rounds: of each band's bucket one leader is compared with the members that aren't in its component. Both full
+3. Rounds: of each band's bucket some leaders are compared with the members that aren't in their components. Both full
    sets meet in a join and are intersected. Distances obey the triangle inequality, so two members at
-   known distances from one leader need no comparison if these differ by more than the limit. When so few pairs of different
+   known distances from one leader need no comparison if these differ by more than the limit, nor do members whose
+   signatures agree in less than ``LIKELY`` of the slots. When so few pairs of different
    components are left that their number is within ``EMIT`` times the band rows, all of them are compared.
 4. Components: smallest-neighbour hooking and pointer jumping on tables, checkpointed each round.
 
-No pair of an unverified kind is dropped: a link is lost only if none of the bands agree, which for similarity 0.8
-happens with odds of (1 - 0.8**5)**32, 3 in a million.
+A link is lost only if none of the bands agree, which at similarity 0.8 happens with odds of
+(1 - 0.8**5)**32, 3 in a million, or if signatures agree far less than the sets, 5 in a million.
 
 Edge cases: null and empty texts, and texts of white space, have an empty set, are linked with nothing and
 are kept; a null doc_id is its own row, with a null component, kept; rows that repeat a doc_id share its component,
@@ -38,7 +39,8 @@ from .shared import staged
 
 SIMILAR = 80
 SLOTS, BANDS, ROWS = 160, 32, 5
-EMIT = 3
+EMIT = 16  # pairs looked at in a round, by band rows
+LIKELY = 0.66  # least share of equal signature bytes: 4.4 standard deviations below the similarity
 CHUNK = 1 << 18  # shingles worked on at a time
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -153,7 +155,9 @@ def _sketch(width: int):
                 ends = np.cumsum(counts)
                 spread = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(codes * _ODD), dtype=np.uint64)])
                 twice = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(codes + _GOLD), dtype=np.uint64)])
-                slots = signatures(codes, counts).view(np.uint32).astype(np.uint64).reshape(-1, BANDS, ROWS)
+                slots = signatures(codes, counts).view(np.uint32).astype(np.uint64)
+                marks = (_mix(slots) >> np.uint64(56)).astype(np.uint8).view(np.int8)
+                slots = slots.reshape(-1, BANDS, ROWS)
                 keys = np.zeros(slots.shape[:2], np.uint64)
                 for i in range(ROWS):
                     keys = _mix(keys * _ODD + slots[:, :, i] + np.uint64(i))
@@ -163,6 +167,7 @@ def _sketch(width: int):
                     "d1": (spread[ends] - spread[ends - counts]).view(np.int64),
                     "d2": (twice[ends] - twice[ends - counts]).view(np.int64),
                     "bands": list(keys.view(np.int64)),
+                    "sig": list(marks),
                 })
 
     return run
@@ -179,29 +184,38 @@ def _sets(width: int):
     return run
 
 
-def components(nodes: DataFrame, links: DataFrame, name: str) -> DataFrame:
-    """(id, c) of ``nodes`` (id): c is the smallest id that ``links`` (a, b) reach.
+def _jumped(parents: DataFrame, name: str) -> DataFrame:
+    """(id, c) of a forest (id, c), c < id: every id's root, by pointer jumping."""
+    while True:
+        up = parents.select(F.col("id").alias("c"), F.col("c").alias("root"))
+        step = staged(parents.join(up, "c", "left").select("id", F.coalesce("root", "c").alias("c"), F.col("root").isNotNull().alias("moved")), name)
+        parents = step.select("id", "c")
+        if step.where("moved").isEmpty():
+            return parents
+
+
+def components(links: DataFrame, name: str) -> DataFrame:
+    """(id, c) of the ids in ``links`` (a, b) that aren't the smallest of their component: c is that smallest id.
 
-    Each round every component takes the smallest label next to it, then labels jump to their
-    own labels' labels; rounds are few since label chains halve.
+    Each round every component hooks onto the smallest one next to it and pointers jump to the
+    roots; then links are between roots, and those within a component are gone.
     """
-    labels = nodes.select("id", F.col("id").alias("c"))
+    found = None
     while True:
-        both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        sides = both.join(labels.select(F.col("id").alias("a"), F.col("c").alias("ca")), "a").join(labels.select(F.col("id").alias("b"), F.col("c").alias("cb")), "b")
-        # An edge between components: the larger label hooks onto the smallest it meets.
-        hooks = sides.where("ca > cb").groupBy(F.col("ca").alias("c")).agg(F.min("cb").alias("to"))
-        hooks = staged(hooks, name)
+        ends = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
+        hooks = staged(ends.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("c")), name)
         if hooks.isEmpty():
-            return labels
-        while True:
-            jumped = hooks.join(hooks.select(F.col("c").alias("to"), F.col("to").alias("further")), "to", "left").select("c", F.coalesce("further", "to").alias("to"), F.col("further").isNotNull().alias("moved"))
-            jumped = staged(jumped, name)
-            done = jumped.where("moved").isEmpty()
-            hooks = jumped.select("c", "to")
-            if done:
-                break
-        labels = staged(labels.join(hooks, "c", "left").select("id", F.coalesce("to", "c").alias("c")), name)
+            return found if found is not None else hooks
+        roots = _jumped(hooks, name)
+        if found is None:
+            found = roots
+        else:
+            moved = found.join(roots.select(F.col("id").alias("c"), F.col("c").alias("to")), "c", "left").select("id", F.coalesce("to", "c").alias("c"))
+            found = staged(moved.unionByName(roots), name)
+        to = lambda side: roots.select(F.col("id").alias(side), F.col("c").alias(f"_{side}"))
+        links = staged(ends.join(to("a"), "a", "left").join(to("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).where("a <> b").distinct(), name)
+        if links.isEmpty():
+            return found
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
@@ -218,71 +232,77 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
 def groups(docs: DataFrame, width: int = 4, similar: int = SIMILAR) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``docs`` (doc_id, text)."""
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sketch = staged(own.mapInPandas(_sketch(width), "doc_id long, n long, d1 long, d2 long, bands array<long>"), "sketch")
+    sketch = staged(own.mapInPandas(_sketch(width), "doc_id long, n long, d1 long, d2 long, bands array<long>, sig array<byte>"), "sketch")
     filled = sketch.where("n > 0 and doc_id is not null")
-    classes = staged(filled.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
+    digest = ["n", "d1", "d2"]
+    classes = staged(filled.groupBy(*digest).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
 
     # Band rows of one document a class; buckets of one are of no use.
-    firsts = filled.join(classes.select("n", "d1", "d2", "id"), ["n", "d1", "d2"]).where("doc_id = id")
-    rows = firsts.select("id", "n", F.posexplode("bands").alias("band", "code")).select("id", "n", F.xxhash64("band", "code").alias("key")).distinct()
-    shared = rows.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+    firsts = filled.join(classes.where("copies > 1").select(*digest, "id"), digest, "left").where("id is null or doc_id = id").drop("id")
+    rows = firsts.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "code")).select("id", F.xxhash64("band", "code").alias("key"))
+    shared = rows.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last").drop("last")
     hits = staged(rows.join(shared, "key"), "hits")
-    ids = hits.select("id").distinct()
-    if hits.isEmpty():
-        labels = ids.select("id", F.col("id").alias("c"))
+    wanted = staged(hits.select("id").distinct(), "wanted")
+    if wanted.isEmpty():
+        labels = classes.select("id", F.col("id").alias("c")).limit(0)
     else:
         # Full sets of the documents that share a bucket; a class's sets are equal, so any row of it serves.
-        wanted = staged(ids, "wanted")
         texts = own.join(wanted, own["doc_id"] == wanted["id"], "left_semi").select(F.col("doc_id").alias("id"), "text")
         sets = staged(texts.mapInPandas(_sets(width), "id long, codes array<long>"), "sets")
-        labels = _linked(hits, wanted, sets, similar)
-    doubled = filled.join(classes, ["n", "d1", "d2"]).groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    labels = labels.where("c < id")
-    if not doubled.isEmpty():  # rows that repeat a doc_id with other texts: their classes are one group
-        members = filled.join(classes, ["n", "d1", "d2"]).join(doubled.select("doc_id", "lo"), "doc_id")
-        links = staged(labels.select(F.col("id").alias("a"), F.col("c").alias("b")).unionByName(members.where("id > lo").select(F.col("id").alias("a"), F.col("lo").alias("b"))).distinct(), "links")
-        labels = components(classes.select("id").distinct(), links, "labels").where("c < id")
-    named = classes.join(labels, "id", "left").select("n", "d1", "d2", F.coalesce("c", "id").alias("c"), "copies", F.col("c").isNotNull().alias("moved")).where("copies > 1 or moved").select("n", "d1", "d2", "c")
-    whole = sketch.select("doc_id", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left")
+        info = filled.select(F.col("doc_id").alias("id"), "n", "sig").join(wanted, "id", "left_semi").groupBy("id").agg(F.min(F.struct("n", "sig")).alias("x"), F.count(F.lit(1)).alias("rows")).select("id", "x.*", "rows")
+        labels = _linked(hits, info, sets, similar)
+    if not filled.groupBy("doc_id").count().where("count > 1").isEmpty():
+        # Rows that repeat a doc_id with other texts: their classes are one group.
+        seats = filled.join(classes, digest).select("doc_id", "id").distinct()
+        doubled = seats.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+        members = seats.join(doubled, "doc_id").where("id > lo").select(F.col("id").alias("a"), F.col("lo").alias("b"))
+        labels = components(staged(labels.select(F.col("id").alias("a"), F.col("c").alias("b")).unionByName(members), "links"), "labels")
+    named = classes.join(labels, "id", "left").where("copies > 1 or c is not null").select(*digest, F.coalesce("c", "id").alias("c"))
+    whole = sketch.select("doc_id", *digest).join(named, digest, "left")
     component = F.coalesce("c", "doc_id")
     return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _linked(hits: DataFrame, nodes: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """(id, c) from exact comparisons within buckets, leaders first."""
-    limit, sizes = 1 - similar / 100 + 1e-9, f"100 * least(m.n, o.n) >= {similar} * greatest(m.n, o.n)"
-    n_hits = hits.count()
-    # First each document meets the leader with which it shares most bands.
+def _linked(hits: DataFrame, info: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """(id, c) of the ids that aren't the smallest of their component, from exact comparisons within buckets."""
+    limit = 1 - similar / 100 + 1e-9
+    # First each document meets the leader with which it shares most bands: a forest of links to smaller ids.
     voted = hits.where("id <> leader").groupBy("id", "leader").agg(F.count(F.lit(1)).alias("votes"))
     best = voted.groupBy("id").agg(F.expr("min_by(leader, struct(-votes, leader))").alias("b"))
     seen = staged(_verified(best.select(F.col("id").alias("a"), "b"), sets, similar), "seen")
-    links = seen.where("near").select("a", "b").distinct()
-    labels = components(nodes, links, "labels")
-    pivots = seen.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("pivot"), F.min("far").alias("far")).unionByName(seen.select(F.col("b").alias("id"), F.col("b").alias("pivot"), F.lit(0.0).alias("far")).distinct())
-    pivots = staged(pivots.groupBy("id").agg(F.min(F.struct("far", "pivot")).alias("p")).select("id", "p.far", "p.pivot"), "pivots")
-    left = hits.select("key", "id", "n")
+    labels = _jumped(seen.where("near").groupBy(F.col("a").alias("id")).agg(F.min("b").alias("c")), "labels")
+    pivots = seen.select(F.col("a").alias("id"), "far", F.col("b").alias("pivot")).unionByName(seen.select(F.col("b").alias("id"), F.lit(0.0).alias("far"), F.col("b").alias("pivot")).distinct())
+    known = info.join(pivots.groupBy("id").agg(F.min(F.struct("far", "pivot")).alias("p")).select("id", "p.*"), "id", "left")
+    left = staged(hits.select("key", "id").distinct().join(known, "id"), "left")
+    n_hits = left.count()
+    sizes = f"100 * least(m.n, o.n) >= {similar} * greatest(m.n, o.n)"
+    beyond = f"m.pivot is not null and m.pivot <=> o.pivot and abs(m.far - o.far) > {limit}"
+    # Rows that share an id with others have no one size, signature or distance: they are compared in any case.
+    alike = f"size(filter(zip_with(m.sig, o.sig, (x, y) -> x = y), e -> e)) >= {LIKELY * SLOTS}"
+    open_pair = f"m.rows > 1 or o.rows > 1 or ({sizes} and not ({beyond}) and {alike})"
     while True:
-        now = left.join(labels, "id").join(pivots, "id", "left")
-        counts = now.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
-        mixed = counts.groupBy("key").agg(F.sum("k").alias("all"), F.max(F.struct("k", "c")).alias("top"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-        mixed = staged(mixed.select("key", "all", F.col("top.k").alias("most"), F.col("top.c").alias("main")), "mixed")
-        todo = mixed.agg(F.sum((F.col("all") - F.col("most")) * F.col("all"))).first()[0]
+        placed = left.join(labels, "id", "left").withColumn("c", F.coalesce("c", "id"))
+        counts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.sum("k").alias("all"), F.max(F.struct("k", "c")).alias("top")).where("top.k < all")
+        mains = staged(counts.select("key", "all", F.col("top.k").alias("most"), F.col("top.c").alias("main")), "mains")
+        todo = mains.agg(F.sum((F.col("all") - F.col("most")) * F.col("all"))).first()[0]
         if not todo:
             return labels
-        now = staged(now.join(mixed.select("key", "main"), "key"), "left")
-        minor, last = now.where("c <> main"), todo <= EMIT * n_hits
-        if not last:  # one new leader a bucket, from the smaller components
-            chosen = minor.groupBy("key").agg(F.min("id").alias("id"))
-            minor = minor.join(chosen, ["key", "id"], "left_semi")
-        met = minor.alias("m").join(now.alias("o"), F.expr(f"m.key = o.key and m.c <> o.c and (o.c = o.main or m.id < o.id{'' if last else ' or true'}) and {sizes} and not (m.pivot is not null and m.pivot <=> o.pivot and abs(m.far - o.far) > {limit})"))
-        pairs = met.select(F.expr("greatest(m.id, o.id)").alias("a"), F.expr("least(m.id, o.id)").alias("b")).distinct()
-        found = staged(_verified(staged(pairs, "pairs"), sets, similar), "seen").where("near").select("a", "b")
+        last = todo <= EMIT * n_hits
+        main = mains.select(F.col("key").alias("_key"), "main")
+        minor = placed.join(main, (F.col("key") == F.col("_key")) & (F.col("c") != F.col("main"))).drop("_key")
+        if not last:  # some new leaders a bucket, from the smaller components
+            names = [x for x in minor.columns if x != "key"]
+            chosen = minor.groupBy("key", F.expr(f"pmod(xxhash64(id), {EMIT})").alias("bin")).agg(F.min_by(F.struct(*names), "id").alias("x"))
+            minor = chosen = staged(chosen.select("key", "x.*"), "chosen")
+        met = minor.alias("m").join(placed.alias("o"), F.expr(f"m.key = o.key and m.c <> o.c and (o.c = m.main or m.id < o.id{'' if last else ' or true'}) and ({open_pair})"))
+        pairs = staged(met.select(F.expr("greatest(m.id, o.id)").alias("a"), F.expr("least(m.id, o.id)").alias("b")).distinct(), "pairs")
+        found = staged(_verified(pairs, sets, similar).where("near").select("a", "b").distinct(), "found")
         if not found.isEmpty():
-            links = links.unionByName(found).distinct()
-            labels = components(nodes, links, "labels")
+            old = labels.select(F.col("id").alias("a"), F.col("c").alias("b"))
+            labels = components(old.unionByName(found), "labels")
         if last:
             return labels
-        left = now.join(chosen, ["key", "id"], "left_anti").select("key", "id", "n")
+        left = left.join(chosen, ["key", "id"], "left_anti")
 
 
 def one_of_each(docs: DataFrame, width: int = 5, similar: int = SIMILAR) -> DataFrame:
