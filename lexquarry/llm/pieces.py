@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "\u2581"
-CACHE_SEGMENTS = 600_000
+CACHE_SEGMENTS, CACHE_PAIRS = 200_000, 150_000  # some 100 MB a worker
 
 
 class PieceCoder:
@@ -89,7 +89,7 @@ class PieceCoder:
     def _fits(self, left: str, right: str) -> bool:
         found = self.pairs.get((left, right))
         if found is None:
-            if len(self.pairs) > CACHE_SEGMENTS:
+            if len(self.pairs) > CACHE_PAIRS:
                 self.pairs.clear()
             found = self.pairs[left, right] = self.merge(left + right) == [left, right]
         return found
