@@ -6,8 +6,8 @@ scale the features (those of a ratio under ``LEAST_RATIO`` or in fewer than thre
 out); a logistic regression with an L2 penalty is fitted on the scaled features.
 
 The fit takes a bounded, documented sample: ``SAMPLE`` labelled rows a class at most, those of
-least hash, so the same at every run. What reaches the driver is a bitmap of ``BUCKETS`` bits a
-row. Scoring covers every row and whole texts.
+least hash, so the same at every run. What reaches the driver is a row's features, in ``BUCKETS`` bits
+at most. Scoring covers every row and whole texts.
 
 Edge cases: null or empty texts have no n-gram and get the score of the intercept, as does
 every text where no labelled row can be learned from one of the classes (then 0.5 or the one class's
@@ -63,14 +63,26 @@ def features(text: str | None) -> np.ndarray:
 _LAST = np.zeros(BUCKETS, np.int32)
 
 
-def _bitmaps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _packed(found: np.ndarray) -> bytes:
+    """Features as 32-bit numbers, or as a bitmap where that is shorter."""
+    if len(found) < BUCKETS // 32:
+        return np.sort(found).astype("<i4").tobytes()
+    marks = np.zeros(BUCKETS, bool)
+    marks[found] = True
+    return np.packbits(marks).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    if len(data) < BUCKETS // 8:
+        return np.frombuffer(data, "<i4")
+    return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8))).astype(np.int32)
+
+
+def _marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = []
-        for text in batch["text"]:
-            marks = np.zeros(BUCKETS, bool)
-            marks[features(text)] = True
-            rows.append(np.packbits(marks).tobytes())
-        yield pd.DataFrame({"toxic": batch["toxic"].to_numpy(), "marks": rows})
+        for start in range(0, len(batch), 200):
+            some = batch.iloc[start : start + 200]
+            yield pd.DataFrame({"toxic": some["toxic"].to_numpy(), "marks": [_packed(features(x)) for x in some["text"]]})
 
 
 class Model:
@@ -89,16 +101,17 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     labels = np.asarray(labels, np.float64)
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(BUCKETS), 0.0 if not len(labels) else 4.0 * (2 * labels[0] - 1))
-    where = np.concatenate(rows)
-    sizes = np.array([len(x) for x in rows])
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    counts = [np.bincount(where, weights=(labels[owner] == k), minlength=BUCKETS) + SMOOTHING for k in (0, 1)]
+    counts = np.full((2, BUCKETS), SMOOTHING)
+    for row, label in zip(rows, labels, strict=True):
+        counts[int(label), row] += 1
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     ratio[(counts[0] + counts[1] < 2 * SMOOTHING + 3) | (abs(ratio) < LEAST_RATIO)] = 0
-    kept = ratio[where] != 0
-    where, owner = where[kept], owner[kept]
-    used, at = np.unique(where, return_inverse=True)
-    scale = ratio[used]
+    used = np.flatnonzero(ratio)
+    place = np.zeros(BUCKETS, np.int32)
+    place[used] = np.arange(len(used))
+    kept = [row[ratio[row] != 0] for row in rows]
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in kept])
+    at, scale = place[np.concatenate(kept)], ratio[used]
     weights, bias, step = np.zeros(len(used)), 0.0, np.zeros(len(used))
     share = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())) / len(labels)
     reach = np.sqrt(np.bincount(owner, weights=scale[at] ** 2, minlength=len(rows)).mean() + 1)
@@ -123,9 +136,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     picked = known.where("toxic = 1").orderBy(*order).limit(sample).unionByName(known.where("toxic = 0").orderBy(*order).limit(sample))
     # At most 2 * sample rows of two numbers, whatever the corpus.
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(picked), "doc_id")
-    rows = texts.mapInPandas(_bitmaps, "toxic int, marks binary").limit(4 * sample).collect()
+    rows = texts.mapInPandas(_marks, "toxic int, marks binary").limit(4 * sample).collect()
     found = sorted((bytes(r["marks"]), r["toxic"]) for r in rows)
-    return fit([np.flatnonzero(np.unpackbits(np.frombuffer(x, np.uint8))) for x, _ in found], np.array([y for _, y in found]))
+    return fit([_unpacked(x) for x, _ in found], np.array([y for _, y in found]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
