@@ -15,13 +15,14 @@ def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def matches(text: str, pattern: str) -> str:
+def matches(text: str, pattern: str, needs: str = "true") -> str:
     """SQL for all leftmost non-overlapping matches in order, as array<struct<s, e, t, b, a>>.
 
     ``s`` and ``e`` are code points (end exclusive), ``t`` the match, ``b`` and ``a`` up to 32 and 16
     characters before and after it, at most to the next match. Split and extraction give the
     text between and in the matches; sums of their lengths are the offsets, block by block, so
-    that many matches in one text stay cheap. The pattern mustn't match the empty string.
+    that many matches in one text stay cheap. The pattern mustn't match the empty string. ``needs`` is
+    a cheap SQL condition without which the pattern can't match; such texts aren't scanned.
     """
     length = "cast(length(x.p[i]) + length(x.m[i]) as bigint)"
     before = f"if(k = 0, 0L, aggregate(sequence(0, greatest(k * {BLOCK} - 1, 0)), 0L, (n, i) -> n + {length}))"
@@ -33,7 +34,8 @@ def matches(text: str, pattern: str) -> str:
     )
     whole = f"if(size(x.m) = 0, {empty}, flatten(transform(sequence(0, (size(x.m) - 1) div {BLOCK}), k -> {block})))"
     found = f"array(named_struct('p', split({text}, {literal(pattern)}, -1), 'm', regexp_extract_all({text}, {literal(pattern)}, 0)))"
-    return f"transform({found}, x -> {whole})[0]"
+    scan = f"transform({found}, x -> {whole})[0]"
+    return scan if needs == "true" else f"if({needs}, {scan}, {empty})"
 
 
 def tree_sql(lines: list[str], features: str) -> str:

@@ -40,6 +40,9 @@ BASE = {
     "card": (CARD, f"length({DIGITS.format('c.t')}) between 13 and 19 and luhn_check({DIGITS.format('c.t')})"),
     "phone": (PHONE, f"length({DIGITS.format('c.t')}) between 9 and 15"),
 }
+#: What a text must have for a pattern to match at all; texts without aren't scanned for it.
+NEEDS = {EMAIL: "contains({}, '@')", PHONE: "contains({}, '+')"}
+DIGIT = "{} rlike '[0-9]'"
 #: Further candidates: kind and pattern. All are bounded in length.
 GENERATORS = (
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\s{0,2}[\[({]\s?(?:at|AT|@)\s?[\])}]\s{0,2}[A-Za-z0-9-]{1,63}+(?:\s{0,2}[\[({]\s?(?:dot|DOT|\.)\s?[\])}]\s{0,2}[A-Za-z0-9-]{1,63}+|\.[A-Za-z0-9-]{1,63}+){1,4}"),
@@ -116,7 +119,7 @@ def base_spans(text: str) -> str:
     """SQL for the base spans as array<struct<k, s, e>>, by kind and start."""
     kinds = []
     for k, (pattern, keep) in enumerate(BASE.values()):
-        kinds.append(f"transform(filter({matches(text, pattern)}, c -> {keep}), c -> named_struct('k', {k}, 's', c.s, 'e', c.e))")
+        kinds.append(f"transform(filter({matches(text, pattern, NEEDS.get(pattern, DIGIT).format(text))}, c -> {keep}), c -> named_struct('k', {k}, 's', c.s, 'e', c.e))")
     return f"concat({', '.join(kinds)})"
 
 
@@ -125,7 +128,8 @@ def added_spans(text: str, base: str, score: str, limits: dict[int, float]) -> s
     found = []
     for kind, pattern in GENERATORS:
         k = KINDS.index(kind)
-        made = f"transform({matches(text, pattern)}, c -> named_struct('k', {k}, 's', c.s, 'e', c.e, 'f', {features_sql(FEATURES, k=str(k), t='c.t', b='c.b', a='c.a')}))"
+        needs = f"{text} rlike '[\\\\[({{]'" if kind == "email" else DIGIT.format(text)
+        made = f"transform({matches(text, pattern, needs)}, c -> named_struct('k', {k}, 's', c.s, 'e', c.e, 'f', {features_sql(FEATURES, k=str(k), t='c.t', b='c.b', a='c.a')}))"
         scored = f"transform({made}, c -> named_struct('v', {score.replace('{f}', 'c.f')}, 'k', c.k, 's', c.s, 'e', c.e))"
         found.append(f"filter({scored}, c -> c.v > {limits.get(k, 1e9)}D and not exists({base}, o -> o.s < c.e and c.s < o.e))")
     ranked = f"array_sort(concat({', '.join(found)}), (p, q) -> case when p.v > q.v then -1 when p.v < q.v then 1 when p.s < q.s then -1 when p.s > q.s then 1 else p.k - q.k end)"
