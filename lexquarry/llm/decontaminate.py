@@ -43,7 +43,7 @@ _ONES = 0x0001000100010001
 
 def words_sql(text: str) -> str:
     """SQL for the hashed words of a text; none for a null or empty one."""
-    clean = rf"trim(translate(lower(coalesce({text}, '')), '\t\n\r\f\u000b', '     '))"
+    clean = rf"trim(translate(lower(coalesce({text}, '')), '\t\n\r\u000c\u000b', '     '))"
     return f"if({clean} = '', cast(array() as array<bigint>), transform(split({clean}, ' +'), w -> xxhash64(w)))"
 
 

@@ -233,6 +233,42 @@ def test_leaks_against_brute_force(spark):
     assert clean.columns == docs.columns and clean.count() == sum(not leaks(x["text"]) for x in docs.collect())
 
 
+def brute_leaks(texts, items):
+    """(place of the text, place of the item) of every leak; a text shorter than the item is one window."""
+    found = set()
+    for t, text in enumerate(texts):
+        w = re.split(r"[ \t\n\r\f\v]+", text.lower().strip(" \t\n\r\f\v"))
+        for i, item in enumerate(items):
+            k = min(5, len(item))
+            own = Counter(tuple(item[j : j + k]) for j in range(len(item) - k + 1))
+            for s in range(max(len(w) - len(item), 0) + 1):
+                x = w[s : s + len(item)]
+                a = Counter(tuple(x[j : j + k]) for j in range(len(x) - k + 1))
+                if 100 * sum((a & own).values()) >= 80 * sum((a | own).values()):
+                    found.add((t, i))
+                    break
+    return found
+
+
+def found_leaks(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    return {(x["key"]["doc_id"], x["item_id"]) for x in decontaminate.leaks(docs, benchmark).collect()}
+
+
+def test_leaks_of_words_with_f_and_form_feeds(spark):
+    r = random.Random(5)
+    words = [f"{a}f{b}" for a in "abcdefgh" for b in "abcdefgh"]
+    some = lambda n: [r.choice(words) for _ in range(n)]
+    items, texts = [some(60) for _ in range(3)], ["a b c d e g h i"]
+    for item in items:  # one changed word holds 0.83
+        texts += [" ".join([*some(20), *item[:30], "off-if-of", *item[31:], *some(20)]), "\f".join([*some(9), *item]), " ".join(x.replace("f", " ") for x in item)]
+    items.append("afb cfd efg hfi jfk lfm nfo pfq".split())
+    texts += ["a b c d e f g h i j k l m n o p q", "afb\fcfd\fefg hfi jfk lfm nfo pfq", "a b c d e g h i j k l m n o p q"]
+    want = brute_leaks(texts, items)
+    assert len(want) == 7 and found_leaks(spark, texts, items) == want
+
+
 BASE = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda x, d: True), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda x, d: all(int(p) <= 255 for p in x.split("."))),
     ("card", r"[0-9]([\x20-]?[0-9])+", lambda x, d: 13 <= len(d) <= 19 and sum(int(c) if i % 2 == 0 else (2 * int(c) - 9 * (int(c) > 4)) for i, c in enumerate(reversed(d))) % 10 == 0),
