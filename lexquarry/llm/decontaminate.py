@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
 
 A document is contaminated by an item if one of its windows of as many words as the item has a
-weighted similarity of ``SIMILAR`` or more with it: words are runs of other than ASCII white space in lower case,
+weighted similarity of ``SIMILAR`` or more with it (a shorter document is one window): words are runs of other than ASCII white space in lower case,
 both sides are bags of shingles of ``SHINGLE`` words (of all words where an item has fewer), and
 the similarity is the sum of least over the sum of greatest counts.
 
@@ -132,9 +132,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     low = f"greatest(0, at[i + {need} - 1] - (len - width), if(i = 0, 0, at[greatest(i, 1) - 1] + 1))"
     high = "least(at[i], size(words) - len)"
     starts = f"flatten(transform(sequence(0, size(at) - {need}), i -> if({low} <= {high}, sequence({low}, {high}), cast(array() as array<int>))))"
-    windows = hits.where("size(words) >= len").select("key", "len", "width", F.expr(f"transform({starts}, s -> slice(words, s + 1, len))").alias("windows"))
+    windows = f"if(size(words) < len, array(words), transform({starts}, s -> slice(words, s + 1, len)))"
+    windows = hits.select("key", "len", "width", F.expr(windows).alias("windows"))
     windows = windows.select("key", "len", "width", F.explode("windows").alias("window")).distinct()
-    marked = staged(windows.withColumn("fp", F.expr(simhash_sql("window"))), "windows")
+    marked = staged(windows.withColumn("fp", F.expr(f"if(len > {LANE}, 0L, {simhash_sql('window')})")), "windows")
     sides = _blocks(items, "item_id").withColumnRenamed("fp", "item_fp")
     small = items.count() * (RADIUS + 1) <= BROADCAST_ROWS
     near = _blocks(marked, "key", "window", "width").join(F.broadcast(sides) if small else sides, ["len", "block", "value"]).where(F.expr(f"bit_count(fp ^ item_fp) <= {RADIUS}"))

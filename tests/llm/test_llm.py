@@ -269,6 +269,14 @@ def test_leaks_of_words_with_f_and_form_feeds(spark):
     assert len(want) == 7 and found_leaks(spark, texts, items) == want
 
 
+def test_leaks_of_documents_shorter_than_the_item(spark):
+    r = random.Random(6)
+    items = [[f"v{r.randrange(90)}" for _ in range(n)] for n in (12, 40, 60, decontaminate.LANE + 1)]
+    texts = [" ".join(x) for item in items for x in (item[:-1], item[1:], item[2:-2], item[: len(item) // 2])]
+    want = brute_leaks(texts, items)
+    assert len(want) == 11 and found_leaks(spark, texts, items) == want
+
+
 BASE = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda x, d: True), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda x, d: all(int(p) <= 255 for p in x.split("."))),
     ("card", r"[0-9]([\x20-]?[0-9])+", lambda x, d: 13 <= len(d) <= 19 and sum(int(c) if i % 2 == 0 else (2 * int(c) - 9 * (int(c) > 4)) for i, c in enumerate(reversed(d))) % 10 == 0),
