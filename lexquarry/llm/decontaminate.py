@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
+"""Benchmark decontamination: SimHash of item-sized windows, Hamming distances, exact check.
 
 A document is contaminated by an item if one of its windows of as many words as the item has a
 weighted similarity of ``SIMILAR`` or more with it (a shorter document is one window): words are runs of other than ASCII white space in lower case,
@@ -10,13 +10,14 @@ the similarity is the sum of least over the sum of greatest counts.
    few hits are done. The hits of the others are joined with the benchmark's shingles for the lengths of
    the items that have them, and windows of those lengths with enough hits are kept.
 2. Fingerprints: SimHash of 64 bits over a window's words, counts kept in 16-bit lanes of longs.
-3. Candidates: two fingerprints within ``RADIUS`` agree in at least one of RADIUS + 1 blocks, so joining
-   on (length, block, value) finds all of them; the distance itself is then tested.
+3. Candidates: each window's fingerprint is compared with those of all items of its length. Windows at
+   ``SIMILAR`` with a cut or rewritten end lie up to 18 bits away, and blocks for so wide a ``RADIUS`` would have
+   two or three bits and choose nothing.
 4. Every candidate's bags are compared exactly.
 
 Everything is DataFrame and SQL functions. The benchmark's bitmap has ``BITS`` bits, whatever the
 benchmark's size; beyond ``BITS / 16`` shingles it would let too much through, and step 1 is
-a shuffled join instead. Block tables are broadcast up to ``BROADCAST_ROWS`` rows, and
+a shuffled join instead. Items are broadcast up to ``BROADCAST_ROWS`` rows, and
 joined by shuffle beyond.
 
 Edge cases: null or empty texts are clean, null or empty items contaminate nothing; rows are told
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .shared import staged
 
-SHINGLE, SIMILAR, RADIUS = 5, 80, 11
+SHINGLE, SIMILAR, RADIUS = 5, 80, 24
 BITS = 1 << 20
 BROADCAST_ROWS = 500_000
 LANE = (1 << 14) - 1
@@ -71,13 +72,6 @@ def bag_sql(shingles: str) -> str:
     return f"transform(array(array_sort({shingles})), s -> transform(s, (x, i) -> xxhash64(x, i - array_position(s, x))))[0]"
 
 
-def _blocks(df: DataFrame, *keep: str) -> DataFrame:
-    """One row for each of the fingerprint's blocks."""
-    cuts = [64 * i // (RADIUS + 1) for i in range(RADIUS + 2)]
-    values = [f"shiftrightunsigned(shiftleft(fp, {64 - b}), {64 - b + a})" for a, b in zip(cuts, cuts[1:], strict=False)]
-    return df.select(*keep, "fp", "len", F.posexplode(F.expr(f"array({', '.join(values)})")).alias("block", "value"))
-
-
 def _hits(docs: DataFrame, table: DataFrame, widths: list[int], least: dict[int, int]) -> DataFrame:
     """(key, words, len, at) of documents: places of the shingles of items, by item length."""
     spark = docs.sparkSession
@@ -136,10 +130,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     windows = hits.select("key", "len", "width", F.expr(windows).alias("windows"))
     windows = windows.select("key", "len", "width", F.explode("windows").alias("window")).distinct()
     marked = staged(windows.withColumn("fp", F.expr(f"if(len > {LANE}, 0L, {simhash_sql('window')})")), "windows")
-    sides = _blocks(items, "item_id").withColumnRenamed("fp", "item_fp")
-    small = items.count() * (RADIUS + 1) <= BROADCAST_ROWS
-    near = _blocks(marked, "key", "window", "width").join(F.broadcast(sides) if small else sides, ["len", "block", "value"]).where(F.expr(f"bit_count(fp ^ item_fp) <= {RADIUS}"))
-    near = near.select("key", "window", "width", "item_id").distinct()
+    sides = items.select("item_id", "len", F.col("fp").alias("item_fp"))
+    small = items.count() <= BROADCAST_ROWS
+    near = marked.join(F.broadcast(sides) if small else sides, "len").where(F.expr(f"bit_count(fp ^ item_fp) <= {RADIUS}"))
+    near = near.select("key", "window", "width", "item_id")
     bags = items.select("item_id", F.expr(bag_sql("codes")).alias("item_bag"))
     both = near.withColumn("bag", F.expr(bag_sql(f"({shingles_sql('window', 'width')})"))).join(F.broadcast(bags) if small else bags, "item_id")
     shared = both.withColumn("shared", F.size(F.array_intersect("bag", "item_bag")))

@@ -277,6 +277,18 @@ def test_leaks_of_documents_shorter_than_the_item(spark):
     assert len(want) == 11 and found_leaks(spark, texts, items) == want
 
 
+def test_leaks_with_cut_and_rewritten_ends(spark):
+    r = random.Random(8)
+    items, texts = [[f"v{r.randrange(500)}" for _ in range(r.randrange(14, 60))] for _ in range(40)], []
+    for item in items:  # the longest ends at which 0.8 holds
+        n = len(item) - 4
+        cut, new = n - -(-80 * n // 100), n - -(-160 * n // 180)
+        other = [f"u{r.randrange(500)}" for _ in range(200)]
+        texts += [" ".join(x) for x in (item[: len(item) - cut], item[cut:], [*other[:70], *item[: len(item) - new], *other[70:]], [*other[:70], *item[new:], *other[70:]])]
+    want = brute_leaks(texts, items)
+    assert {(4 * i + j, i) for i in range(40) for j in range(4)} <= want and found_leaks(spark, texts, items) == want
+
+
 BASE = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda x, d: True), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda x, d: all(int(p) <= 255 for p in x.split("."))),
     ("card", r"[0-9]([\x20-]?[0-9])+", lambda x, d: 13 <= len(d) <= 19 and sum(int(c) if i % 2 == 0 else (2 * int(c) - 9 * (int(c) > 4)) for i, c in enumerate(reversed(d))) % 10 == 0),
