@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ALIGNED = 20_000  # lines aligned at a time
+HELD = 1 << 28  # bits of an alignment's rows held at a time
 
 #: Fixed values of the HTML vocabulary.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
@@ -135,29 +135,46 @@ def lines(page: str | None) -> list[tuple[str, bool, bool]]:
     return out
 
 
+def _row(x: list[str], places: dict[str, int], row: int, full: int) -> int:
+    """The bit row after the lines of ``x``; a column's bit is clear where the length steps up."""
+    for text in x:
+        if match := places.get(text, 0) & full:
+            row = ((row + (row & match)) | (row & ~match)) & full
+    return row
+
+
 def common(a: list[str], b: list[str]) -> set[int]:
-    """Indexes of ``a`` in a longest common subsequence with ``b`` (bit rows, read back from the end)."""
+    """Indexes of ``a`` in a longest common subsequence with ``b`` (bit rows, read back from the end).
+
+    Rows are held for ``HELD`` bits at most; longer stretches of ``a`` are halved, and the lower half's rows are made again,
+    up to the column that is still needed. The result doesn't depend on where they are halved.
+    """
+    places: dict[str, int] = {}
+    for j, text in enumerate(b):
+        places[text] = places.get(text, 0) | 1 << j
     kept: set[int] = set()
-    for start in range(0, min(len(a), len(b)), ALIGNED):
-        x, y = a[start : start + ALIGNED], b[start : start + ALIGNED]
-        places: dict[str, int] = {}
-        for j, text in enumerate(y):
-            places[text] = places.get(text, 0) | 1 << j
-        row = full = (1 << len(y)) - 1
+    j = len(b)
+    todo = [(0, len(a), (1 << j) - 1)]  # stretches of a, each with the row before it, last one first
+    while todo and j:
+        low, high, row = todo.pop()
+        full = (1 << j) - 1
+        row &= full
+        if high - low > 1 and (high - low) * j > HELD:
+            middle = (low + high) // 2
+            todo += [(low, middle, row), (middle, high, _row(a[low:middle], places, row, full))]
+            continue
         rows = [row]
-        for text in x:
-            match = places.get(text, 0)
-            row = ((row + (row & match)) | (row & ~match)) & full
-            rows.append(row)
-        i, j = len(x), len(y)
+        for text in a[low:high]:
+            rows.append(_row([text], places, rows[-1], full))
+        i = high - low
         while i and j:
             if rows[i] >> (j - 1) & 1:
-                j -= 1  # no step in this column: the length is that of one line less of y
+                j -= 1  # no step in this column: the length is that of one line less of b
             elif not rows[i - 1] >> (j - 1) & 1:
                 i -= 1
             else:
                 i, j = i - 1, j - 1
-                kept.add(start + i)
+                kept.add(low + i)
     return kept
 
 

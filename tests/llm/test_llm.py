@@ -120,6 +120,17 @@ def test_pages(spark, folder):
         assert len(kept) == best[-1][-1] and all(a[i] in rest for i in sorted(kept))
 
 
+def test_pages_of_any_length_are_aligned_whole(monkeypatch):
+    long, menu = [f"own {i}" for i in range(25_000)], [f"menu {i}" for i in range(50)]
+    assert html.common(long + menu, menu) == set(range(25_000, 25_050))
+    assert html.common(long + menu, ["new", *long, *menu]) == set(range(25_050))
+    r = random.Random(4)
+    pairs = [[[r.choice("abcde") for _ in range(r.randrange(60))] for _ in range(2)] for _ in range(100)]
+    want = [html.common(*x) for x in pairs]
+    monkeypatch.setattr(html, "HELD", 40)
+    assert [html.common(*x) for x in pairs] == want
+
+
 def test_archives(spark, folder):
     pages = spark.read.parquet(f"{folder[0]}/pages.parquet").collect()
     largest = {}
