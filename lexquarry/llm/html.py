@@ -10,7 +10,8 @@ tag, role or class are dropped whatever the neighbour has, and where a page mark
 (``article`` or ``main``), the lines inside stay, the others go.
 
 Order and memory: range partitions split a host of any size; a task streams its pages in order and
-holds three. A partition's first and last page have a neighbour on one side only.
+holds three. The ranges are fixed first, from the keys alone, and their first and last keys (two a partition)
+are collected; those pages are also sent to the adjoining range, as neighbours only.
 
 Edge cases: a null html is an empty page with an empty text; a null url counts as empty, host and
 path then empty; rows that repeat a page are neighbours as any others, and keep their articles;
@@ -21,6 +22,8 @@ all lines that aren't boilerplate by markup; extra columns are ignored; an empty
 from __future__ import annotations
 
 import html as entities
+import json
+import math
 import re
 from collections.abc import Iterator
 
@@ -203,8 +206,8 @@ def _leading(a: str, b: str) -> int:
 def _differ(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def pages() -> Iterator[tuple]:
         for batch in batches:
-            for page, url, html, host, path in zip(batch["page_id"], batch["url"], batch["html"], batch["host"], batch["path"], strict=True):
-                yield page, url, host, path, lines(html)
+            for page, url, html, host, path, guest in zip(batch["page_id"], batch["url"], batch["html"], batch["host"], batch["path"], batch["guest"], strict=True):
+                yield page, url, host, path, lines(html), guest
 
     def row(before, now, after) -> tuple:
         near = [x for x in (before, after) if x and x[2] == now[2]]
@@ -215,10 +218,10 @@ def _differ(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def rows() -> Iterator[tuple]:
         before = now = None
         for after in pages():
-            if now:
+            if now and not now[5]:
                 yield row(before, now, after)
             before, now = now, after
-        if now:
+        if now and not now[5]:
             yield row(before, now, None)
 
     names, held = ["page_id", "url", "text", "n_chars", "n_shared"], []
@@ -241,8 +244,25 @@ def main_text(pages: DataFrame) -> DataFrame:
         "path": F.regexp_extract(clean, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1),
     })
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = "host", "path", "page_id"
-    near = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    order = "host", "path", "page_id", "digest"
+    keyed = keyed.withColumn("digest", F.xxhash64("html"))
+    ranges = keyed.select(*order).repartitionByRange(parts, *order).select(F.spark_partition_id().alias("part"), F.struct(*order).alias("key"))
+    ends = sorted(ranges.groupBy("part").agg(F.min("key").alias("first"), F.max("key").alias("last")).collect())  # ``parts`` rows at most
+    if ends:
+        kind = ranges.schema["key"].dataType.simpleString()
+        firsts, lasts = (F.from_json(F.lit(json.dumps([r[x].asDict() for r in ends])), f"array<{kind}>") for x in ("first", "last"))
+        step = math.isqrt(len(ends)) + 1
+        key = F.struct(*order)
+        block = F.size(F.filter(F.from_json(F.lit(json.dumps([r["first"].asDict() for r in ends[::step]])), f"array<{kind}>"), lambda x: x <= key))
+        keyed = keyed.withColumn("part", (block - 1) * step)
+        keyed = keyed.withColumn("part", F.col("part") + F.size(F.filter(F.slice(firsts, F.col("part") + 1, F.lit(step)), lambda x: x <= key)) - 1)
+        seat = lambda part, guest: F.struct(part.alias("part"), F.lit(guest).alias("guest"))
+        before = F.when((F.col("part") > 0) & F.get(firsts, "part").eqNullSafe(key), seat(F.col("part") - 1, True))
+        after = F.when((F.col("part") < len(ends) - 1) & F.get(lasts, "part").eqNullSafe(key), seat(F.col("part") + 1, True))
+        keyed = keyed.select("url", "html", *order, F.inline(F.array_compact(F.array(seat(F.col("part"), False), before, after))))
+    else:
+        keyed = keyed.withColumns({"part": F.lit(0), "guest": F.lit(False)})
+    near = keyed.repartitionById(parts, "part").sortWithinPartitions(*order).drop("part", "digest")
     return near.mapInPandas(_differ, "page_id long, url string, text string, n_chars long, n_shared int")
 
 

@@ -131,6 +131,20 @@ def test_pages_of_any_length_are_aligned_whole(monkeypatch):
     assert [html.common(*x) for x in pairs] == want
 
 
+def test_pages_do_not_depend_on_partitions(spark):
+    menu = "".join(f"<div>menu {i}</div>" for i in range(5))
+    rows = [(i if i else None, f"http://h{i // 2}.org/a", f"{menu}<div>{'h' if i % 2 else 'own'} {i}</div>") for i in range(40)] + [(80, None, None)]
+    pages, parts = spark.createDataFrame(rows, "page_id long, url string, html string"), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        got = []
+        for n in (1, 7, 60):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(sorted(map(tuple, html.main_text(pages).collect()), key=str))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert got[0] == got[1] == got[2] and len(got[0]) == 41 and sum(x[4] == 5 for x in got[0]) == 40
+
+
 def test_archives(spark, folder):
     pages = spark.read.parquet(f"{folder[0]}/pages.parquet").collect()
     largest = {}
