@@ -1,12 +1,14 @@
 """Structure of compiled instruments: styled paragraphs to containers, provisions, units and endnotes.
 
 Segmentation is a running count over window functions; the address of a unit depends on seats taken before it,
-so that step is one Arrow group a provision.
+so that step streams each provision in order, holding open units and counters only.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
+from itertools import groupby, islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -55,49 +57,61 @@ def endnotes(paragraphs: DataFrame, instrument: str = "instrument") -> DataFrame
     return rows.groupBy(instrument, "_n").agg(F.min_by("text", "pos").alias("title"), F.transform(F.array_sort(F.collect_list(F.when(~head, F.struct("pos", "text")))), lambda x: x["text"]).alias("paragraphs")).select(instrument, F.regexp_extract("title", r"(?i)^endnote\s+([0-9]+)", 1).try_cast("int").alias("number"), "title", "paragraphs")
 
 
-def address(frame: pd.DataFrame, base: str) -> list[dict]:
-    """Units of one provision: parent is the nearest shallower open unit; label, else ``~n``; a taken seat gets a suffix.
+#: A second unit's address may equal that of an unlabelled one below the first, so its counters stay.
+AGAIN = re.compile(r"\)~[0-9]+(?![0-9])")
 
-    Notes and penalties attach to the unit before them; headings are never parents.
+
+def address(rows: Iterable[tuple], base: str) -> Iterator[dict]:
+    """Units of one provision's (style, text) in order: parent is the nearest shallower open unit; label, else ``~n``; a taken seat gets a suffix.
+
+    Notes and penalties attach to the unit before them; headings are never parents. Only open units and the counters
+    of their labels are held. ``wanted`` is a labelled unit's address before the suffix, ``seat`` how many had it before.
     """
     opened: dict[int, dict] = {}
-    taken: dict[str, int] = {}
-    units: list[dict] = []
-    for style, text in zip(frame["style"], frame["text"], strict=True):
+    counts: dict[str | None, dict] = {}
+    for ordinal, (style, text) in enumerate(rows, 1):
         kind, depth = STYLES.get(style, ("text", 1))
         for d in [d for d in opened if d >= depth]:
             if kind not in ("note", "penalty") or d > depth:
-                del opened[d]
-        parent = opened[max(d for d in opened if d < depth or kind in ("note", "penalty"))] if any(d < depth or kind in ("note", "penalty") for d in opened) else None
+                closed = opened.pop(d)["ref"]
+                if not AGAIN.search(closed) and all(u["ref"] != closed for u in opened.values()):
+                    counts.pop(closed, None)
+        above = [d for d in opened if d < depth or kind in ("note", "penalty")]
+        parent = opened[max(above)] if above else None
         label = LABEL.match(text or "")
         number = label[1] if label and kind in ("subsection", "paragraph") else None
-        stem = parent["ref"] if parent else base
-        want = f"{stem}({number})" if number else f"{stem}~{1 + sum(u['parent_ref'] == (parent and parent['ref']) and u['number'] is None for u in units)}"
-        seat = taken.get(want, 0)
-        taken[want] = seat + 1
-        unit = {"ref": want if not seat else f"{want}~{seat + 1}", "parent_ref": parent and parent["ref"], "ordinal": len(units) + 1, "depth": depth, "kind": kind, "number": number, "text": text, "want": want}
-        units.append(unit)
+        owner = parent and parent["ref"]
+        taken = counts.setdefault(owner, {})
+        seat = taken.get(number, 0)
+        taken[number] = seat + 1
+        want = f"{owner if parent else base}({number})" if number else f"{owner if parent else base}~{seat + 1}"
+        ref = f"{want}~{seat + 1}" if number and seat else want
+        unit = {"ref": ref, "parent_ref": owner, "ordinal": ordinal, "depth": depth, "kind": kind, "number": number, "text": text, "wanted": want if number else None, "seat": seat}
+        yield unit
         if kind not in ("note", "penalty", "heading"):
             opened[depth] = unit
-    for unit in units:
-        unit["number_collision"] = unit["number"] is not None and taken[unit.pop("want")] > 1
-        unit.pop("want", None)
-    return units
 
 
-UNITS = "ref string, parent_ref string, ordinal int, depth int, kind string, number string, text string, number_collision boolean"
+UNITS = "ref string, parent_ref string, ordinal int, depth int, kind string, number string, text string, wanted string, seat int"
 
 
 def units(paragraphs: DataFrame, base: str = "provision_ref") -> DataFrame:
-    """Addressed units of paragraphs (provision_ref, pos, style, text); one group a provision."""
-
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        names = [x.strip().split(" ")[0] for x in UNITS.split(",")]
-        out = pd.DataFrame(address(frame.sort_values("pos"), key[0]), columns=names)
-        out.insert(0, base, key[0])
-        return out
-
-    return paragraphs.select(base, "pos", "style", "text").groupBy(base).applyInPandas(run, f"{base} string, {UNITS}")
+    """Addressed units of paragraphs (provision_ref, pos, style, text), streamed in order; labels that collide are found by a group of the wanted address."""
+    names = [base, *(x.strip().split(" ")[0] for x in UNITS.split(","))]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (x for batch in batches for x in zip(batch[base], batch["style"], batch["text"], strict=True))
+        made = ((key, *unit.values()) for key, some in groupby(rows, lambda x: x[0]) for unit in address((x[1:] for x in some), key))
+        while held := list(islice(made, 5_000)):
+            yield pd.DataFrame(held, columns=names)
+
+    ordered = paragraphs.select(base, "pos", "style", "text").repartition(base).sortWithinPartitions(base, "pos", "style", "text")
+    out = ordered.mapInPandas(run, f"{base} string, {UNITS}")
+    twice = out.where("number is not null and seat > 0").select(F.col(base).alias("_base"), F.col("wanted").alias("_wanted")).distinct()
+    # An unlabelled unit's own address spreads the join and meets no wanted one.
+    out = out.join(twice, F.col(base).eqNullSafe(F.col("_base")) & (F.coalesce("wanted", "ref") == F.col("_wanted")), "left")
+    kept = [base, *(x for x in names[1:] if x not in ("wanted", "seat")), "number_collision"]
+    return out.withColumn("number_collision", F.col("_wanted").isNotNull()).select(kept)
 
 
 def addressed_units(turns: DataFrame) -> DataFrame:

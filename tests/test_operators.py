@@ -100,6 +100,15 @@ def test_units_and_contents(spark):
     assert got == [("I/s41(1)", None, False), ("I/s41(1)(a)", "I/s41(1)", True), ("I/s41(1)(a)~1", "I/s41(1)(a)", False), ("I/s41(1)(a)~2", "I/s41(1)", True), ("I/s41~1", None, False)]
 
 
+def test_units_are_streamed(spark):
+    lines = (("notetext", "x") for _ in range(30_000))  # one of 30,000 rows was quadratic, and needed all rows at once
+    first = next(layout.address(lines, "B"))
+    assert first["ref"] == "B~1" and next(lines) and sum(1 for _ in layout.address(lines, "B")) == 29_998
+    rows = [("B", i, "subsection", "(1) a" if i % 3 else "plain") for i in range(12_000)]
+    got = layout.units(spark.createDataFrame(rows, "provision_ref string, pos int, style string, text string")).collect()
+    assert len({r["ref"] for r in got}) == len(got) == 12_000 and sum(r["number_collision"] for r in got) == 8_000
+
+
 def test_docx(spark):
     w = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
     body = f'<w:document {w}><w:body><w:p><w:pPr><w:pStyle w:val="ActHead5"/></w:pPr><w:r><w:rPr><w:b/></w:rPr><w:t>41</w:t><w:tab/></w:r><w:r><w:rPr><w:b w:val="0"/></w:rPr><w:t>x</w:t></w:r></w:p><w:tbl><w:tr><w:tc><w:tcPr><w:gridSpan w:val="2"/><w:vMerge/></w:tcPr><w:p><w:r><w:t>c</w:t></w:r></w:p></w:tc></w:tr></w:tbl></w:body></w:document>'
