@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import staged
+
 UNIT, PAD, BLOCKS_WIDE, GROUPS = 576, 255, 3, 2730
 GROUP_BYTES = 2 << 20
 #: Symbol 8 (DC: category 8; AC: no zeros before, category 8) has the one-bit code 0.
@@ -247,7 +249,7 @@ def features(stored: DataFrame) -> DataFrame:
 
 
 def op7_jpeg_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features(store(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
+    return features(staged(store(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")), "media"))
 
 
 QUERIES = {"op7_jpeg_columns": op7_jpeg_columns}

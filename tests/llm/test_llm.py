@@ -177,6 +177,11 @@ def test_jpeg_round_trip(spark, folder):
         assert (rows[i]["n_bytes"], rows[i]["payload_sha256"], rows[i]["tail_crc32"]) == (n, hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
 
 
+def test_jpeg_features_are_of_stored_media(spark, folder):
+    files = jpeg.op7_jpeg_columns(spark, folder[0]).inputFiles()
+    assert files and all("/media-" in x for x in files) and spark.read.parquet(*files).columns == ["doc_id", "n_bytes", "media"]
+
+
 def test_toxicity_held_out(spark, folder):
     root, docs, toxic, _ = folder
     rows = {r["doc_id"]: r for r in toxicity.op8_toxicity_scores(spark, root).collect()}
