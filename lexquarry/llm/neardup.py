@@ -1,7 +1,7 @@
 """Near-duplicate documents: SuperMinHash signatures, banding, verification on full sets, union-find.
 
 Words are runs of other than ASCII white space, A-Z in lower case; a document's set holds its
-distinct shingles of ``SHINGLE`` words (all words as one if fewer; none without words). Two
+distinct shingles of ``width`` words (all words as one if fewer; none without words). Two
 documents are linked when 100 * |A and B| >= SIMILAR * |A or B|. Components of linked documents are
 the groups, named by their smallest doc_id.
 
@@ -10,20 +10,23 @@ the groups, named by their smallest doc_id.
    the slots and ranks them j + u; elements are drawn in step, one rank at a time, and a document's drawing stops early once
    each slot holds a value below the next rank.
 2. Documents of equal sets form a class; only one of a class goes on, so copies cost nothing more.
-3. Rounds: of each band's bucket some leaders are compared with the members that aren't in their components. Both full
-   sets meet in a join and are intersected. Distances obey the triangle inequality, so two members at
-   known distances from one leader need no comparison if these differ by more than the limit, nor do members whose
-   signatures agree in less than ``LIKELY`` of the slots. When so few pairs of different
-   components are left that their number is within ``EMIT`` times the band rows, all of them are compared.
-4. Components: smallest-neighbour hooking and pointer jumping on tables, checkpointed each round.
-
-A link is lost only if none of the bands agree, which at similarity 0.8 happens with odds of
-(1 - 0.8**5)**32, 3 in a million, or if signatures agree far less than the sets, 5 in a million.
+3. Each document meets the bucket leader with which it shares most bands; both full sets are intersected. This
+   links all but a few members of a group of copies, with one comparison a document.
+4. What is left are buckets that hold several components. Two sets can only be linked if they share one of their rarest
+   shingles: of a set of n in an order by frequency, the first n - ceil(0.8 n) + 1; and where the first shared one stands tells
+   the most that they can share. Documents of different components that pass both tests are compared on full sets. Shingles
+   that only one component holds are of no use and go, so a large group costs nothing once it is linked. Both tests are exact.
+5. A shingle whose list would take more than ``PAIRS`` looks gives ``LEADERS`` of its documents a round, which meet all
+   others; linked components are contracted before the next round.
+6. Components: smallest-neighbour hooking and pointer jumping on tables, written each round.
+
+A link is lost only if neither document shares a band with any other, or none with each other where all their buckets
+are linked otherwise; the first happens at similarity 0.8 with odds of (1 - 0.8**5)**32, 3 in a million.
 
 Edge cases: null and empty texts, and texts of white space, have an empty set, are linked with nothing and
 are kept; a null doc_id is its own row, with a null component, kept; rows that repeat a doc_id share its component,
 the smallest of their classes'; very long texts are shingled whole; extra columns are
-ignored by ``groups`` and kept by ``one_of_each``; an empty table gives an empty result.
+ignored by ``groups`` and kept by ``one_of_each``, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,16 +34,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import staged
+from .shared import arrow_batch, staged, unused
 
 SIMILAR = 80
 SLOTS, BANDS, ROWS = 160, 32, 5
-EMIT = 16  # pairs looked at in a round, by band rows
-LIKELY = 0.66  # least share of equal signature bytes: 4.4 standard deviations below the similarity
+PAIRS, LEADERS = 1 << 22, 16
 CHUNK = 1 << 18  # shingles worked on at a time
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -146,40 +148,43 @@ def _chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+SKETCH = "doc_id long, n long, d1 long, d2 long, bands array<long>"
+SETS = "id long, d1 long, codes array<long>"
+
+
+def _sums(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum of each set's hashes, as a digest."""
+    ends = np.cumsum(counts)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(codes), dtype=np.uint64)])
+    return (sums[ends] - sums[ends - counts]).view(np.int64)
+
+
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(values.view(np.int64)))
+
+
 def _sketch(width: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch["text"].tolist()
+            texts = batch["text"].to_pylist()
             for a, b in _chunks(texts):
                 codes, counts = shingles(texts[a:b], width)
-                ends = np.cumsum(counts)
-                spread = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(codes * _ODD), dtype=np.uint64)])
-                twice = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(codes + _GOLD), dtype=np.uint64)])
-                slots = signatures(codes, counts).view(np.uint32).astype(np.uint64)
-                marks = (_mix(slots) >> np.uint64(56)).astype(np.uint8).view(np.int8)
-                slots = slots.reshape(-1, BANDS, ROWS)
+                slots = signatures(codes, counts).view(np.uint32).astype(np.uint64).reshape(-1, BANDS, ROWS)
                 keys = np.zeros(slots.shape[:2], np.uint64)
                 for i in range(ROWS):
                     keys = _mix(keys * _ODD + slots[:, :, i] + np.uint64(i))
-                yield pd.DataFrame({
-                    "doc_id": batch["doc_id"].iloc[a:b].to_numpy(),
-                    "n": counts.astype(np.int64),
-                    "d1": (spread[ends] - spread[ends - counts]).view(np.int64),
-                    "d2": (twice[ends] - twice[ends - counts]).view(np.int64),
-                    "bands": list(keys.view(np.int64)),
-                    "sig": list(marks),
-                })
+                yield arrow_batch(SKETCH, batch["doc_id"].slice(a, b - a), counts.astype(np.int64), _sums(codes * _ODD, counts), _sums(codes + _GOLD, counts), _lists(keys.ravel(), np.full(b - a, BANDS)))
 
     return run
 
 
 def _sets(width: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch["text"].tolist()
+            texts = batch["text"].to_pylist()
             for a, b in _chunks(texts):
                 codes, counts = shingles(texts[a:b], width)
-                yield pd.DataFrame({"id": batch["id"].iloc[a:b].to_numpy(), "codes": np.split(codes.view(np.int64), np.cumsum(counts)[:-1])})
+                yield arrow_batch(SETS, batch["id"].slice(a, b - a), _sums(codes * _ODD, counts), _lists(codes, counts))
 
     return run
 
@@ -219,20 +224,17 @@ def components(links: DataFrame, name: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """(a, b, near, far): whether both full sets are similar, and their distance, of ``pairs`` (a, b)."""
+    """Those of ``pairs`` (a, b) whose full sets are similar."""
     left, right = sets.select(F.col("id").alias("a"), F.col("codes").alias("ca")), sets.select(F.col("id").alias("b"), F.col("codes").alias("cb"))
     met = pairs.join(left, "a").join(right, "b")
     counted = met.select("a", "b", (F.size("ca") + F.size("cb")).cast("long").alias("total"), F.size(F.array_intersect("ca", "cb")).cast("long").alias("shared"))
-    return counted.select(
-        "a", "b", (100 * F.col("shared") >= similar * (F.col("total") - F.col("shared"))).alias("near"),
-        (1 - F.col("shared") / (F.col("total") - F.col("shared"))).alias("far"),
-    )
+    return counted.where(100 * F.col("shared") >= similar * (F.col("total") - F.col("shared"))).select("a", "b").distinct()
 
 
 def groups(docs: DataFrame, width: int = 4, similar: int = SIMILAR) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``docs`` (doc_id, text)."""
     own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sketch = staged(own.mapInPandas(_sketch(width), "doc_id long, n long, d1 long, d2 long, bands array<long>, sig array<byte>"), "sketch")
+    sketch = staged(own.mapInArrow(_sketch(width), SKETCH), "sketch")
     filled = sketch.where("n > 0 and doc_id is not null")
     digest = ["n", "d1", "d2"]
     classes = staged(filled.groupBy(*digest).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
@@ -248,9 +250,8 @@ def groups(docs: DataFrame, width: int = 4, similar: int = SIMILAR) -> DataFrame
     else:
         # Full sets of the documents that share a bucket; a class's sets are equal, so any row of it serves.
         texts = own.join(wanted, own["doc_id"] == wanted["id"], "left_semi").select(F.col("doc_id").alias("id"), "text")
-        sets = staged(texts.mapInPandas(_sets(width), "id long, codes array<long>"), "sets")
-        info = filled.select(F.col("doc_id").alias("id"), "n", "sig").join(wanted, "id", "left_semi").groupBy("id").agg(F.min(F.struct("n", "sig")).alias("x"), F.count(F.lit(1)).alias("rows")).select("id", "x.*", "rows")
-        labels = _linked(hits, info, sets, similar)
+        sets = staged(texts.mapInArrow(_sets(width), SETS), "sets")
+        labels = _linked(hits, sets, similar)
     if not filled.groupBy("doc_id").count().where("count > 1").isEmpty():
         # Rows that repeat a doc_id with other texts: their classes are one group.
         seats = filled.join(classes, digest).select("doc_id", "id").distinct()
@@ -259,62 +260,73 @@ def groups(docs: DataFrame, width: int = 4, similar: int = SIMILAR) -> DataFrame
         labels = components(staged(labels.select(F.col("id").alias("a"), F.col("c").alias("b")).unionByName(members), "links"), "labels")
     named = classes.join(labels, "id", "left").where("copies > 1 or c is not null").select(*digest, F.coalesce("c", "id").alias("c"))
     whole = sketch.select("doc_id", *digest).join(named, digest, "left")
-    component = F.coalesce("c", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
     return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _linked(hits: DataFrame, info: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """(id, c) of the ids that aren't the smallest of their component, from exact comparisons within buckets."""
-    limit = 1 - similar / 100 + 1e-9
-    # First each document meets the leader with which it shares most bands: a forest of links to smaller ids.
+def _rarest(sets: DataFrame, similar: int) -> DataFrame:
+    """(token, id, n, rest) of ``sets``: those of a set's rarest shingles that a similar set must share one of, and how many stand from there on."""
+    codes = sets.select("id", "d1", F.size("codes").cast("long").alias("n"), F.explode("codes").alias("token"))
+    often = codes.groupBy("token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    held = codes.join(often, "token").groupBy("id", "d1", "n").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("held"))
+    # Shingles that no other set has come first in the order.
+    alone = held.withColumn("alone", F.col("n") - F.size("held")).withColumn("take", F.expr(f"n - ({similar} * n + 99) div 100 + 1 - alone"))
+    return alone.where("take > 0").select("id", "n", "alone", F.posexplode(F.expr("slice(held, 1, cast(take as int))"))).select(F.col("col.token").alias("token"), "id", "n", (F.col("n") - F.col("alone") - F.col("pos")).alias("rest"))
+
+
+def _linked(hits: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """(id, c) of the ids that aren't the smallest of their component, from exact comparisons."""
     voted = hits.where("id <> leader").groupBy("id", "leader").agg(F.count(F.lit(1)).alias("votes"))
-    best = voted.groupBy("id").agg(F.expr("min_by(leader, struct(-votes, leader))").alias("b"))
-    seen = staged(_verified(best.select(F.col("id").alias("a"), "b"), sets, similar), "seen")
-    labels = _jumped(seen.where("near").groupBy(F.col("a").alias("id")).agg(F.min("b").alias("c")), "labels")
-    pivots = seen.select(F.col("a").alias("id"), "far", F.col("b").alias("pivot")).unionByName(seen.select(F.col("b").alias("id"), F.lit(0.0).alias("far"), F.col("b").alias("pivot")).distinct())
-    known = info.join(pivots.groupBy("id").agg(F.min(F.struct("far", "pivot")).alias("p")).select("id", "p.*"), "id", "left")
-    left = staged(hits.select("key", "id").distinct().join(known, "id"), "left")
-    n_hits = left.count()
-    sizes = f"100 * least(m.n, o.n) >= {similar} * greatest(m.n, o.n)"
-    beyond = f"m.pivot is not null and m.pivot <=> o.pivot and abs(m.far - o.far) > {limit}"
-    # Rows that share an id with others have no one size, signature or distance: they are compared in any case.
-    alike = f"size(filter(zip_with(m.sig, o.sig, (x, y) -> x = y), e -> e)) >= {LIKELY * SLOTS}"
-    open_pair = f"m.rows > 1 or o.rows > 1 or ({sizes} and not ({beyond}) and {alike})"
+    best = voted.groupBy("id").agg(F.expr("min_by(leader, struct(-votes, leader))").alias("b")).select(F.col("id").alias("a"), "b")
+    # A forest of links to smaller ids.
+    labels = _jumped(staged(_verified(best, sets, similar).select(F.col("a").alias("id"), F.col("b").alias("c")), "first"), "labels")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.join(labels, "id", "left").withColumn("c", F.coalesce("c", "id"))
+
+    seats = placed(hits.select("key", "id"))
+    mixed = seats.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    loose = staged(seats.join(mixed, "key", "left_semi").select("id").distinct(), "loose")
+    if loose.isEmpty():
+        return labels
+    tokens = staged(_rarest(sets.join(loose, "id", "left_semi"), similar), "tokens")
+    may = f"least(m.rest, o.rest) * {100 + similar} >= {similar} * (m.n + o.n) and 100 * least(m.n, o.n) >= {similar} * greatest(m.n, o.n)"
     while True:
-        placed = left.join(labels, "id", "left").withColumn("c", F.coalesce("c", "id"))
-        counts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.sum("k").alias("all"), F.max(F.struct("k", "c")).alias("top")).where("top.k < all")
-        mains = staged(counts.select("key", "all", F.col("top.k").alias("most"), F.col("top.c").alias("main")), "mains")
-        todo = mains.agg(F.sum((F.col("all") - F.col("most")) * F.col("all"))).first()[0]
-        if not todo:
+        now = placed(tokens)
+        counts = now.groupBy("token", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(F.sum("k").alias("all"), F.max(F.struct("k", "c")).alias("top")).where("top.k < all")
+        mains = staged(counts.select("token", F.col("top.c").alias("main"), ((F.col("all") - F.col("top.k")) * F.col("all") > PAIRS).alias("heavy")), "mains")
+        some, heavy = mains.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("heavy").cast("int")), F.lit(0))).first()
+        if not some:
             return labels
-        last = todo <= EMIT * n_hits
-        main = mains.select(F.col("key").alias("_key"), "main")
-        minor = placed.join(main, (F.col("key") == F.col("_key")) & (F.col("c") != F.col("main"))).drop("_key")
-        if not last:  # some new leaders a bucket, from the smaller components
-            names = [x for x in minor.columns if x != "key"]
-            chosen = minor.groupBy("key", F.expr(f"pmod(xxhash64(id), {EMIT})").alias("bin")).agg(F.min_by(F.struct(*names), "id").alias("x"))
-            minor = chosen = staged(chosen.select("key", "x.*"), "chosen")
-        met = minor.alias("m").join(placed.alias("o"), F.expr(f"m.key = o.key and m.c <> o.c and (o.c = m.main or m.id < o.id{'' if last else ' or true'}) and ({open_pair})"))
-        pairs = staged(met.select(F.expr("greatest(m.id, o.id)").alias("a"), F.expr("least(m.id, o.id)").alias("b")).distinct(), "pairs")
-        found = staged(_verified(pairs, sets, similar).where("near").select("a", "b").distinct(), "found")
+        minor = now.join(mains, "token").where("c <> main")
+        asked = minor.where("not heavy")
+        if heavy:
+            names = [x for x in minor.columns if x != "token"]
+            chosen = minor.where("heavy").groupBy("token", F.expr(f"pmod(xxhash64(id), {LEADERS})").alias("bin")).agg(F.min_by(F.struct(*names), F.struct("id", "n", "rest")).alias("x"))
+            chosen = staged(chosen.select("token", "x.*"), "chosen")
+            asked = asked.unionByName(chosen)
+        met = asked.alias("m").join(now.alias("o"), F.expr(f"m.token = o.token and m.c <> o.c and (m.heavy or o.c = m.main or m.id < o.id) and {may}"))
+        pairs = met.select(F.expr("greatest(m.id, o.id)").alias("a"), F.expr("least(m.id, o.id)").alias("b")).distinct()
+        found = staged(_verified(pairs, sets, similar), "found")
         if not found.isEmpty():
-            old = labels.select(F.col("id").alias("a"), F.col("c").alias("b"))
-            labels = components(old.unionByName(found), "labels")
-        if last:
+            labels = components(staged(labels.select(F.col("id").alias("a"), F.col("c").alias("b")).unionByName(found), "links"), "labels")
+        if not heavy:
             return labels
-        left = left.join(chosen, ["key", "id"], "left_anti")
+        left = tokens.join(mains.where("heavy").select("token"), "token", "left_semi")
+        tokens = staged(left.join(chosen.select("token", "id", "n", "rest"), ["token", "id", "n", "rest"], "left_anti"), "tokens")
 
 
 def one_of_each(docs: DataFrame, width: int = 5, similar: int = SIMILAR) -> DataFrame:
-    """The rows of ``docs`` of which no smaller doc_id is in their group, all columns kept; of rows repeating a doc_id, one."""
-    gone = staged(groups(docs, width, similar).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    twice = docs.groupBy(F.col("doc_id").cast("long")).count().where("count > 1 and doc_id is not null")
-    return kept if twice.isEmpty() else kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    """The rows of ``docs`` of which no smaller doc_id is in their group, all columns kept; of rows equal in doc_id and text, one."""
+    mark = unused(docs, "gone")
+    gone = staged(groups(docs, width, similar).where("not kept").select(F.col("doc_id").alias(mark)).distinct(), "gone")
+    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col(mark), "left_anti")
+    twice = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    return kept if twice.isEmpty() else kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(kept.where("doc_id is null"))
 
 
 def op9_superminhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return groups(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return groups(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), width=4)
 
 
 QUERIES = {"op9_superminhash_groups": op9_superminhash_groups}

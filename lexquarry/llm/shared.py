@@ -1,7 +1,7 @@
 """The folder that driver and executors share, and files in it.
 
-The session names the folder in ``spark.checkpoint.dir``. Only where that is unset (tests, a
-laptop) a temporary folder is made. Files are written under a name of the attempt and then
+The session names the folder in ``spark.checkpoint.dir``. Only where that is unset and Spark runs
+in one process (tests, a laptop) a temporary folder is made; on a cluster that is an error. Files are written under a name of the attempt and then
 renamed, so a lost executor or a second attempt leaves either no file or the whole one.
 """
 
@@ -13,13 +13,35 @@ import tempfile
 import uuid
 from urllib.parse import unquote, urlsplit
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+_KINDS = {
+    "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
+}
+
+
+def arrow_batch(ddl: str, *columns) -> pa.RecordBatch:
+    """Columns (lists, numpy or Arrow arrays) as a batch of the schema; whole numbers stay exact beside nulls."""
+    fields = [x.rsplit(" ", 1) for x in ddl.split(", ")]
+    arrays = [x if isinstance(x, pa.Array) else pa.array(x, _KINDS[kind]) for x, (_, kind) in zip(columns, fields, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=pa.schema([(name, _KINDS[kind]) for name, kind in fields]))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have, whatever the case of letters."""
+    taken = {x.lower() for x in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
 
 def shared_root(spark: SparkSession) -> str:
     """URI of the shared folder named by the session."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="lexquarry-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

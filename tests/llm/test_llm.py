@@ -227,7 +227,57 @@ def test_near_duplicates_against_brute_force(spark):
     got = neardup.groups(frame(spark, texts)).collect()
     assert Counter(tuple(x)[:3] for x in got) == want
     kept = neardup.one_of_each(frame(spark, texts), width=4)
-    assert kept.columns == ["doc_id", "text", "id", "n"] and kept.count() == len({x["component_id"] for x in got} | {None})
+    # One row of each group, and doc_id 3 has two texts: neither is lost.
+    assert kept.columns == ["doc_id", "text", "id", "n"] and kept.count() == len({x["component_id"] for x in got} | {None}) + 1
+    assert {x["text"] for x in kept.where("doc_id = 3").collect()} == {"a", "again"}
+
+
+def test_a_cluster_of_near_copies_takes_comparisons_in_line_with_its_size(spark, monkeypatch):
+    """Copies of one text at similarities from 0.2 to 1, where most pairs are neither equal nor far."""
+    r = random.Random(11)
+    words = [f"w{i}" for i in range(80)]
+    base = [r.choice(words) for _ in range(150)]
+    compared = []
+    verified = neardup._verified
+    monkeypatch.setattr(neardup, "_verified", lambda pairs, *x: (compared.append(pairs.count()), verified(pairs, *x))[1])
+    for n in (150, 400):
+        texts = []
+        for _ in range(n):
+            copy = list(base)
+            for _ in range(r.randrange(0, 30)):
+                at = r.randrange(len(copy))
+                copy[at : at + 1] = r.choice([[], [r.choice(words)], [copy[at], r.choice(words)]])
+            texts.append(" ".join(copy))
+        bags = [frozenset(tuple(t.split()[i : i + 4]) for i in range(len(t.split()) - 3)) for t in texts]
+        parent = list(range(n))
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for i in range(n):
+            for j in range(i):
+                if find(i) != find(j) and 100 * len(bags[i] & bags[j]) >= 80 * len(bags[i] | bags[j]):
+                    parent[max(find(i), find(j))] = min(find(i), find(j))
+        compared.clear()
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+        got = {x["doc_id"]: x["component_id"] for x in neardup.groups(docs).collect()}
+        assert got == {i: find(i) for i in range(n)}
+        assert sum(compared) <= 12 * n
+    monkeypatch.setattr(neardup, "PAIRS", 20_000)  # hot shingles give leaders, round after round
+    assert {x["doc_id"]: x["component_id"] for x in neardup.groups(docs).collect()} == got
+
+
+BIG = (1 << 60) + 1, (1 << 60) + 3
+
+
+def test_near_duplicates_keep_large_ids(spark):
+    rows = [(BIG[0], "a b c d e f", "x"), (BIG[1], "a b c d e f", "y"), (None, "a b c d e f", "z"), (BIG[1] + 6, "other words that stand alone here", "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone string").coalesce(1)
+    assert {(x["doc_id"], x["component_id"]) for x in neardup.groups(docs).collect()} == {(BIG[0], BIG[0]), (BIG[1], BIG[0]), (None, None), (BIG[1] + 6, BIG[1] + 6)}
+    kept = neardup.one_of_each(docs)
+    assert kept.columns == docs.columns and {x["gone"] for x in kept.collect()} == {"x", "z", "w"}
 
 
 def test_leaks_against_brute_force(spark):
