@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import staged
+from .shared import staged, unused
 
 SHINGLE, SIMILAR, RADIUS = 5, 80, 24
 BITS = 1 << 20
@@ -143,9 +143,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
-    found = staged(leaks(docs, benchmark).select("key.doc_id", "key.digest").distinct(), "leaks").select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"))
+    doc, mark = unused(docs, "leak_doc"), unused(docs, "leak_digest")
+    found = staged(leaks(docs, benchmark).select("key.doc_id", "key.digest").distinct(), "leaks").select(F.col("doc_id").alias(doc), F.col("digest").alias(mark))
     digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
-    return docs.join(found, (digest == F.col("_digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")), "left_anti")
+    return docs.join(found, (digest == F.col(mark)) & F.col("doc_id").cast("long").eqNullSafe(F.col(doc)), "left_anti")
 
 
 def op3_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

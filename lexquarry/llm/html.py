@@ -27,10 +27,13 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import arrow_batch
+
+TEXTS = "page_id long, url string, text string, n_chars long, n_shared int"
 HELD = 1 << 28  # bits of an alignment's rows held at a time
 
 #: Fixed values of the HTML vocabulary.
@@ -203,11 +206,11 @@ def _leading(a: str, b: str) -> int:
     return n
 
 
-def _differ(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def pages() -> Iterator[tuple]:
         for batch in batches:
-            for page, url, html, host, path, guest in zip(batch["page_id"], batch["url"], batch["html"], batch["host"], batch["path"], batch["guest"], strict=True):
-                yield page, url, host, path, lines(html), guest
+            for page, url, html, host, path, guest in zip(*(batch[x] for x in ("page_id", "url", "html", "host", "path", "guest")), strict=True):
+                yield page.as_py(), url.as_py(), host.as_py(), path.as_py(), lines(html.as_py()), guest.as_py()
 
     def row(before, now, after) -> tuple:
         near = [x for x in (before, after) if x and x[2] == now[2]]
@@ -224,14 +227,14 @@ def _differ(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if now and not now[5]:
             yield row(before, now, None)
 
-    names, held = ["page_id", "url", "text", "n_chars", "n_shared"], []
+    held: list[tuple] = []
     for x in rows():
         held.append(x)
         if len(held) == 500:
-            yield pd.DataFrame(held, columns=names).astype({"page_id": "Int64"})
+            yield arrow_batch(TEXTS, *map(list, zip(*held, strict=True)))
             held = []
     if held:
-        yield pd.DataFrame(held, columns=names).astype({"page_id": "Int64"})
+        yield arrow_batch(TEXTS, *map(list, zip(*held, strict=True)))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -263,7 +266,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     else:
         keyed = keyed.withColumns({"part": F.lit(0), "guest": F.lit(False)})
     near = keyed.repartitionById(parts, "part").sortWithinPartitions(*order).drop("part", "digest")
-    return near.mapInPandas(_differ, "page_id long, url string, text string, n_chars long, n_shared int")
+    return near.mapInArrow(_differ, TEXTS)
 
 
 def op4_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ are the byte itself; a block holds 64 of them, and each block is a restart inter
 differences start anew and intervals decode side by side. Nine blocks, 24 by 24 pixels, are the
 unit; an image is 24 pixels wide, and payloads over ``GROUPS`` units go to several images in a row.
 
-The decoder takes any baseline grey JPEG of that kind: it parses markers and tables, undoes byte
+The decoder takes any baseline JPEG of one component: it parses markers, Huffman and quantiser tables, undoes byte
 stuffing, and Huffman-decodes all restart intervals in step, one table lookup a symbol. DC values alone give
 the thumbnail: one pixel a block.
 
@@ -22,14 +22,16 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import staged
+from .shared import arrow_batch, staged
 
 UNIT, PAD, BLOCKS_WIDE, GROUPS = 576, 255, 3, 2730
 GROUP_BYTES = 2 << 20
+STORED = "doc_id long, n_bytes long, media binary"
+FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 #: Symbol 8 (DC: category 8; AC: no zeros before, category 8) has the one-bit code 0.
 _TABLE = bytes([1, *[0] * 15, 8])
 
@@ -97,18 +99,27 @@ def _lookup(table: bytes) -> np.ndarray:
     return found
 
 
-def _frames(data: bytes) -> Iterator[tuple[int, int, bytes, bytes, int, int, int]]:
-    """Of each image in ``data``: width, height, DC table, AC table, restart interval, scan's start and end."""
+def _frames(data: bytes) -> Iterator[tuple[int, int, bytes, bytes, int, int, int, int]]:
+    """Of each image in ``data``: width, height, DC table, AC table, restart interval, scan's start and end, DC's quantiser."""
     at = 0
     while at < len(data):
         if data[at : at + 2] != b"\xff\xd8":
             raise ValueError("no image starts here")
-        at, size, tables, interval = at + 2, None, {}, 0
+        at, size, tables, interval, steps, used = at + 2, None, {}, 0, {}, 0
         while True:
             mark, length = data[at + 1], struct.unpack_from(">H", data, at + 2)[0]
             body, at = data[at + 4 : at + 2 + length], at + 2 + length
             if mark == 0xC0:
-                size = struct.unpack(">HH", body[1:5])
+                size, used = struct.unpack(">HH", body[1:5]), body[8]
+                if body[0] != 8 or body[5] != 1:
+                    raise ValueError("not a grey image of 8 bits")  # one component's sampling has no effect
+            elif mark == 0xDB:
+                while body:
+                    wide = body[0] >> 4
+                    steps[body[0] & 15] = int.from_bytes(body[1 : 2 + wide])
+                    body = body[1 + 64 * (1 + wide) :]
+            elif 0xC1 <= mark <= 0xCF and mark not in (0xC4, 0xC8, 0xCC):
+                raise ValueError("not a baseline image")
             elif mark == 0xC4:
                 while body:
                     n = 17 + sum(body[1:17])
@@ -117,7 +128,8 @@ def _frames(data: bytes) -> Iterator[tuple[int, int, bytes, bytes, int, int, int
                 interval = struct.unpack(">H", body)[0]
             elif mark == 0xDA:
                 end = data.index(b"\xff\xd9", at)
-                yield size[1], size[0], tables[0x00], tables[0x10], interval, at, end
+                dc, ac = body[2] >> 4, body[2] & 15
+                yield size[1], size[0], tables[dc], tables[0x10 | ac], interval, at, end, steps[used]
                 at = end + 2
                 break
 
@@ -182,7 +194,7 @@ def decode(media: list[bytes]) -> list[tuple[bytes, list[tuple[int, int, np.ndar
     """Of each stored form: the payload, and (width, height, thumbnail) of its images."""
     frames = [(k, *frame) for k, data in enumerate(media) for frame in _frames(data)]
     groups: dict[tuple, list[int]] = {}
-    for i, (_, _, _, dc, ac, interval, _, _) in enumerate(frames):
+    for i, (_, _, _, dc, ac, interval, *_) in enumerate(frames):
         groups.setdefault((dc, ac, interval), []).append(i)
     out: list[tuple[list[bytes], list]] = [([], []) for _ in media]
     found: dict[int, np.ndarray] = {}
@@ -192,13 +204,13 @@ def decode(media: list[bytes]) -> list[tuple[bytes, list[tuple[int, int, np.ndar
         values, at = _decode_scans(scans, blocks, interval, dc, ac), 0
         for i, n in zip(members, blocks, strict=True):
             found[i], at = values[at : at + n], at + n
-    for i, (k, width, height, _, _, interval, _, _) in enumerate(frames):
+    for i, (k, width, height, _, _, interval, _, _, step) in enumerate(frames):
         values = found[i]
         diffs = values.copy()
         turn = np.arange(len(values)) % interval if interval else np.arange(len(values))
         diffs[turn > 0, 0] -= values[np.flatnonzero(turn > 0) - 1, 0]
         out[k][0].append(np.where(diffs < 0, diffs + 255, diffs).astype(np.uint8).tobytes())
-        thumb = np.clip(values[:, 0] / 8 + 128, 0, 255).astype(np.uint8).reshape(-(-height // 8), -(-width // 8))
+        thumb = np.clip(values[:, 0] * step / 8 + 128, 0, 255).astype(np.uint8).reshape(-(-height // 8), -(-width // 8))
         out[k][1].append((width, height, thumb))
     return [(b"".join(parts), images) for parts, images in out]
 
@@ -223,29 +235,29 @@ def _groups(values: list, size) -> Iterator[list]:
 def store(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, media) of each document (doc_id, text)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = list(zip(batch["doc_id"], batch["text"], strict=True))
+            rows = list(zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True))
             for some in _groups(rows, lambda x: len(x[1] or "")):
                 whole = [padded(text) for _, text in some]
-                yield pd.DataFrame({"doc_id": [x for x, _ in some], "n_bytes": [n for _, n in whole], "media": encode([x for x, _ in whole])}).astype({"doc_id": "Int64"})
+                yield arrow_batch(STORED, [x for x, _ in some], [n for _, n in whole], encode([x for x, _ in whole]))
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, "doc_id long, n_bytes long, media binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, STORED)
 
 
 def features(stored: DataFrame) -> DataFrame:
     """What the stored bytes decode to, and their features."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = list(zip(batch["doc_id"], batch["n_bytes"], batch["media"], strict=True))
+            rows = list(zip(batch["doc_id"].to_pylist(), batch["n_bytes"].to_pylist(), batch["media"].to_pylist(), strict=True))
             for some in _groups(rows, lambda x: len(x[2])):
                 out = []
-                for (doc, n, media), (payload, images) in zip(some, decode([bytes(x[2]) for x in some]), strict=True):
+                for (doc, n, media), (payload, images) in zip(some, decode([x[2] for x in some]), strict=True):
                     out.append((doc, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature(images)))
-                yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]).astype({"doc_id": "Int64"})
+                yield arrow_batch(FEATURES, *map(list, zip(*out, strict=True)))
 
-    return stored.mapInPandas(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return stored.mapInArrow(run, FEATURES)
 
 
 def op7_jpeg_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

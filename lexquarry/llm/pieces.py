@@ -21,13 +21,15 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import arrow_batch
+
 MODEL = "piece_bpe_32k.model"
 SPACE = "\u2581"
-CACHE_SEGMENTS, CACHE_PAIRS = 200_000, 150_000  # some 100 MB a worker
+CACHE_BYTES, CACHE_PAIRS, KEPT = 60 << 20, 150_000, 64  # bytes of kept segments, all told; longest one that is kept
 
 
 class PieceCoder:
@@ -59,6 +61,7 @@ class PieceCoder:
         self.pairs: dict[tuple[str, str], bool] = {}
         self.shorter: dict[str, str | None] = {}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.held = 0
         self.segments = re.compile(rf"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n" if "\n" not in self.chars else rf"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
 
     def merge(self, text: str) -> list[str]:
@@ -111,17 +114,19 @@ class PieceCoder:
             if size > longest[start]:
                 longest[start] = size
         out: list[str] = []
-        failed, at, size = 0, 0, len(text)
+        at, size = 0, len(text)
+        failed: bytearray | None = None
         piece: str | None = text[: longest[0]] if text else None
         while at < size:
-            while piece is not None and (failed and failed >> (at + len(piece)) & 1 or (out and not self._fits(out[-1], piece))):
+            while piece is not None and (failed and failed[(at + len(piece)) >> 3] >> (at + len(piece) & 7) & 1 or (out and not self._fits(out[-1], piece))):
                 piece = self._prefix(piece)
             if piece is not None:
                 out.append(piece)
                 at += len(piece)
                 piece = text[at : at + longest[at]] if at < size else None
             elif out:
-                failed |= 1 << at
+                failed = failed or bytearray(size // 8 + 1)
+                failed[at >> 3] |= 1 << (at & 7)
                 piece = out.pop()
                 at -= len(piece)
                 piece = self._prefix(piece)
@@ -130,7 +135,11 @@ class PieceCoder:
         return out
 
     def _segment(self, text: str) -> tuple[int, ...]:
+        if text in self.own:
+            return (self.ids[text],)
         way = self.merge if SPACE * 2 in text else self.backtrack
+        if self.chars.issuperset(text):
+            return tuple(map(self.ids.__getitem__, way(text)))
         return tuple(chain.from_iterable(self._known(text, way)))
 
     def _known(self, text: str, way) -> Iterator[Iterable[int]]:
@@ -150,12 +159,19 @@ class PieceCoder:
             return []
         segments, known = self.segments(SPACE + text.replace(" ", SPACE)), self.known
         fresh = set(segments).difference(known)
-        if known and len(known) + len(fresh) > CACHE_SEGMENTS:
+        if self.held > CACHE_BYTES:
             known.clear()
-            fresh = set(segments)
+            self.held, fresh = 0, set(segments)
+        long = []
         for segment in fresh:
-            known[segment] = self._segment(segment)
-        return list(chain.from_iterable(map(known.__getitem__, segments)))
+            known[segment] = ids = self._segment(segment)
+            self.held += 200 + 2 * len(segment) + 12 * len(ids)
+            if len(segment) > KEPT:
+                long.append(segment)
+        out = list(chain.from_iterable(map(known.__getitem__, segments)))
+        for segment in long:
+            self.held -= 200 + 2 * len(segment) + 12 * len(known.pop(segment))
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: spaces for space marks, bytes joined, the first mark's space gone."""
@@ -183,22 +199,20 @@ def coder(path: str) -> PieceCoder:
 def encode_decode(docs: DataFrame, model: str, texts: bool = False) -> DataFrame:
     """Ids' number and digests of each document (doc_id, text); with ``texts``, the ids too."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if texts else "")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = coder(model)
         for batch in batches:
-            for start in range(0, len(batch), 500):
-                some = batch.iloc[start : start + 500]
-                rows = []
+            for start in range(0, batch.num_rows, 500):
+                some, rows = batch.slice(start, 500), []
                 for text in some["text"]:
-                    ids = codec.encode(text or "")
+                    ids = codec.encode(text.as_py() or "")
                     joined = ",".join(map(codec.decimal.__getitem__, ids)).encode()
                     rows.append((len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256(codec.decode(ids).encode()).hexdigest(), *([ids] if texts else [])))
-                out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if texts else [])])
-                out.insert(0, "doc_id", some["doc_id"].to_numpy())
-                yield out
+                yield arrow_batch(schema, some["doc_id"], *map(list, zip(*rows, strict=True)))
 
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if texts else "")
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

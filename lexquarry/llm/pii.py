@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .native import features_sql, forest_sql, literal, matches
+from .shared import unused
 
 TRAIN_ROWS = 3000
 TREES, DEPTH = 10, 3
@@ -104,7 +105,9 @@ def fitted(spark: SparkSession) -> tuple[str, dict[int, float]]:
 
         rows = labelled(spark).withColumn("f", F.expr(features_sql(FEATURES, k="k", t="t", b="b", a="a")))
         train = rows.where("not held").select(array_to_vector("f").alias("features"), F.col("label").cast("double").alias("label"))
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1).fit(train.repartition(2).cache())
+        train = train.repartition(2).cache()
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1).fit(train)
+        train.unpersist()
         score = forest_sql(model, "{f}")
         held = rows.where("held").withColumn("score", F.expr(score.replace("{f}", "f")))
         least = held.groupBy("k").agg(F.max(F.when(F.col("label") == 0, F.col("score"))).alias("top"), F.min(F.when(F.col("label") == 1, F.col("score"))).alias("low")).collect()
@@ -164,9 +167,9 @@ def redacted(text: str, spans: str) -> Column:
 
 def redact(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns kept, personal data in ``text`` replaced by its kind."""
-    names = docs.columns
-    marked = with_spans(docs, "_pii_base", "_pii_spans")
-    return marked.withColumn("text", redacted("text", "_pii_spans")).select(*[F.col(f"`{x}`") for x in names])
+    names, base, spans = docs.columns, unused(docs, "pii_base"), unused(docs, "pii_spans")
+    marked = with_spans(docs, base, spans)
+    return marked.withColumn("text", redacted("text", spans)).select(*[F.col(f"`{x}`") for x in names])
 
 
 def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,7 +94,7 @@ def fitted(spark: SparkSession, findings: DataFrame | None = None) -> str:
         from pyspark.ml.classification import RandomForestClassifier
         from pyspark.ml.functions import array_to_vector
 
-        rows = (labelled(spark) if findings is None else findings.limit(TRAIN_ROWS)).withColumn("f", F.expr(features_sql(FEATURES, v="v", b="b", a="a", p="p", n="n")))
+        rows = (labelled(spark) if findings is None else findings.orderBy(F.xxhash64("v", "b", "p"), "v", "b", "a", "p", "n", "label").limit(TRAIN_ROWS)).withColumn("f", F.expr(features_sql(FEATURES, v="v", b="b", a="a", p="p", n="n")))
         train = rows.select(array_to_vector("f").alias("features"), F.col("label").cast("double").alias("label"))
         model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=1, featureSubsetStrategy="onethird").fit(train.repartition(2))
         score = f"{forest_sql(model, '{f}')} / {TREES}D"

@@ -95,8 +95,8 @@ def write_file(folder: str, name: str, data) -> str:
 
 
 def open_file(uri: str):
-    """A readable binary stream."""
+    """A readable binary file that can seek."""
     if (path := _local(uri)) is not None:
         return open(path, "rb")
     system, path = _remote(uri)
-    return system.open_input_stream(path)
+    return system.open_input_file(path)

@@ -9,10 +9,10 @@ The fit takes a bounded, documented sample: ``SAMPLE`` labelled rows a class at
 least hash, so the same at every run. What reaches the driver is a row's features, in ``BUCKETS`` bits
 at most. Scoring covers every row and whole texts.
 
-Edge cases: null or empty texts have no n-gram and get the score of the intercept, as does
+Edge cases: null or empty texts and those of white space have no n-gram and get the score of the intercept, as does
 every text where no labelled row can be learned from one of the classes (then 0.5 or the one class's
 side); labels of unknown or null doc_id count for nothing; doc_ids with several labels are toxic if
-any says so; repeated rows get equal scores; extra columns are ignored; an empty table gives no rows.
+any says so, and are learned from by the least of their texts; a text shorter than an n-gram is one as a whole; repeated rows get equal scores; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,9 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import arrow_batch
+
 ORDERS = (5,)
 BUCKETS = 1 << 18
 SAMPLE = 1500
@@ -31,28 +34,26 @@ HELD_OUT_OF = 5
 PENALTY, ROUNDS, SMOOTHING, LEAST_RATIO = 3e-3, 80, 1.0, 0.7
 
 
-def _bytes(text: str | None) -> np.ndarray:
-    return np.frombuffer(f" {' '.join((text or '').lower().split())} ".encode(), np.uint8)
+def _chars(text: str | None) -> np.ndarray:
+    """Code points of the text in lower case, white space as one space."""
+    return np.frombuffer(f" {' '.join((text or '').lower().split())} ".encode("utf-32-le", "surrogatepass"), "<u4")
 
 
 def features(text: str | None) -> np.ndarray:
     """Distinct hashed n-grams of a whole text; empty for a text without letters."""
-    raw = _bytes(text)
+    raw = _chars(text)
     if len(raw) < 3:
         return np.empty(0, np.int64)
     found = []
     for n in ORDERS:
-        if len(raw) < n:
-            continue
+        n = min(n, len(raw))
         wide, code = raw.astype(np.uint64), np.zeros(len(raw) - n + 1, np.uint64)
         for i in range(n):
-            code *= np.uint64(257)
+            code *= np.uint64(0x110001)
             code += wide[i : len(raw) - n + 1 + i]
         code *= np.uint64(0x9E3779B97F4A7C15)
         code >>= np.uint64(64 - BUCKETS.bit_length() + 1)
         found.append(code.astype(np.int64))
-    if not found:
-        return np.empty(0, np.int64)
     codes = np.concatenate(found)
     place = np.arange(len(codes), dtype=np.int32)
     _LAST[codes] = place  # of equal codes the last one's place stays
@@ -136,7 +137,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     picked = known.where("toxic = 1").orderBy(*order).limit(sample).unionByName(known.where("toxic = 0").orderBy(*order).limit(sample))
     # At most 2 * sample rows of two numbers, whatever the corpus.
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(picked), "doc_id")
-    rows = texts.mapInPandas(_marks, "toxic int, marks binary").limit(4 * sample).collect()
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    rows = texts.mapInPandas(_marks, "toxic int, marks binary").collect()  # a row of ``picked`` each at most
     found = sorted((bytes(r["marks"]), r["toxic"]) for r in rows)
     return fit([_unpacked(x) for x, _ in found], np.array([y for _, y in found]))
 
@@ -144,11 +146,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every row."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": model.scores(batch["text"])})
+            yield arrow_batch("doc_id long, score double", batch["doc_id"], model.scores(x.as_py() for x in batch["text"]))
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, "doc_id long, score double")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:

@@ -19,11 +19,11 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import new_folder, open_file, write_file
+from .shared import arrow_batch, new_folder, open_file, write_file
 
 LEAST = 1000
 ARCHIVE_BYTES = 32 << 20
@@ -65,15 +65,15 @@ def record(page_id: int | None, url: str, payload: bytes, refers_to: int | None,
 
 def members(blocks: Iterable[bytes]) -> Iterator[bytes]:
     """The decompressed bytes of each gzip member of a stream."""
-    unpacker, parts = zlib.decompressobj(31), []
+    unpacker, parts, begun = zlib.decompressobj(31), [], False
     for block in blocks:
         while block:
             parts.append(unpacker.decompress(block))
-            block = b""
+            begun, block = True, b""
             if unpacker.eof:
                 yield b"".join(parts)
-                block, unpacker, parts = unpacker.unused_data, zlib.decompressobj(31), []
-    if any(parts):
+                begun, block, unpacker, parts = False, unpacker.unused_data, zlib.decompressobj(31), []
+    if begun:
         raise ValueError("archive ends inside a record")
 
 
@@ -103,23 +103,22 @@ def describe(fields: dict[str, str], block: bytes) -> tuple:
 
 
 def _writer(folder: str):
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task, seq, held, size = TaskContext.get(), 0, [], 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             nonlocal seq, held, size
             name = f"pages-{task.partitionId():06d}-{task.taskAttemptId()}-{seq:04d}.warc.gz"
             write_file(folder, name, held)
             seq, held, size = seq + 1, [], 0
-            return pd.DataFrame({"file": [name]})
+            return arrow_batch("file string", [name])
 
         for batch in batches:
-            for page, url, html, latest in zip(batch["page_id"], batch["url"], batch["html"], batch["latest"], strict=True):
-                number = None if pd.isna(page) else int(page)
-                refers = None if pd.isna(latest) or number == int(latest) else int(latest)
-                held.append(record(number, url or "", (html or "").encode(), refers))
+            for page, url, html, latest in zip(*(batch[x] for x in ("page_id", "url", "html", "latest")), strict=True):
+                number, other = page.as_py(), latest.as_py()
+                held.append(record(number, url.as_py() or "", (html.as_py() or "").encode(), None if number == other else other))
                 size += len(held[-1])
                 if size >= ARCHIVE_BYTES:
                     yield flush()
@@ -130,19 +129,18 @@ def _writer(folder: str):
 
 
 def _reader(folder: str):
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.strip().split(" ")[0] for x in ROWS.split(",")]
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name in batch["file"]:
+            for name in batch["file"].to_pylist():
                 rows = []
                 with open_file(f"{folder}/{name}") as file:
                     for data in members(iter(lambda file=file: file.read(1 << 16), b"")):
                         rows.append(describe(*parse(data)))
                         if len(rows) == 2000:
-                            yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+                            yield arrow_batch(ROWS, *map(list, zip(*rows, strict=True)))
                             rows = []
                 if rows:
-                    yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+                    yield arrow_batch(ROWS, *map(list, zip(*rows, strict=True)))
 
     return read
 
@@ -153,14 +151,14 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     own = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     keyed = own.withColumn("digest", F.when(F.octet_length("html") >= LEAST, F.sha1("html")))
     latest = keyed.where("digest is not null").groupBy("digest").agg(F.max("page_id").alias("latest"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    written = keyed.join(latest, "digest", "left").select("page_id", "url", "html", "latest").mapInPandas(_writer(folder), "file string")
+    written = keyed.join(latest, "digest", "left").select("page_id", "url", "html", "latest").mapInArrow(_writer(folder), "file string")
     written.write.parquet(f"{folder}/manifest")
     return spark.read.schema("file string").parquet(f"{folder}/manifest")
 
 
 def read_archives(files: DataFrame, folder: str) -> DataFrame:
     parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return files.repartition(parts, "file").mapInPandas(_reader(folder), ROWS)
+    return files.repartition(parts, "file").mapInArrow(_reader(folder), ROWS)
 
 
 def op6_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -422,3 +422,79 @@ def test_pipeline(spark, folder):
         if name == "pii":
             assert not gone and state.where("text like '%@mail%'").count() == 0 and state.where("text like '%[EMAIL]%'").count() > 0
     assert state.count() == len(kept) and sum(r["n_tokens"] for r in state.collect()) > 0
+
+
+def test_large_ids_stay_exact_beside_null(spark, tmp_path):
+    long = "copy " * 300
+    pages = [(BIG[0], "http://h.org/a", f"<p>own {BIG[0]}</p>"), (BIG[1], "http://h.org/b", f"<p>{long}</p>"), (BIG[1] + 2, "http://h.org/c", f"<p>{long}</p>"), (None, "http://h.org/d", "<p>z</p>")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    docs = [(BIG[0], "one text", "s"), (BIG[1], "another text", "s"), (None, "third", "s")]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(BIG[0], 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    ids = lambda rows, name: {x[name] for x in rows.collect()}
+    for query in (wavelet.op2_wavelet_shards, pieces.op5_piece_codec, jpeg.op7_jpeg_columns, toxicity.op8_toxicity_scores, neardup.op9_superminhash_groups, pii.op10_pii_spans, secrets.op1_secret_scan):
+        assert ids(query(spark, str(tmp_path)), "doc_id") == {*BIG, None}, query.__name__
+    assert ids(html.op4_page_text(spark, str(tmp_path)), "page_id") == {*BIG, BIG[1] + 2, None}
+    records = {(x["page_id"], x["record_type"], x["refers_to"]) for x in warc.op6_warc_records(spark, str(tmp_path)).collect()}
+    assert records == {(BIG[0], "response", None), (BIG[1], "revisit", BIG[1] + 2), (BIG[1] + 2, "response", None), (None, "response", None)}
+
+
+def test_extra_columns_with_clashing_names_stay(spark, folder):
+    """The names that operators would give their own columns."""
+    names = ["gone", "leak_doc", "leak_digest", "pii_base", "pii_spans", "id", "n", "c", "key", "words", "score", "toxic", "found"]
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet").where("doc_id < 60").selectExpr("*", *[f"cast(doc_id as string) as {x}" for x in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, docs, folder[0])
+        assert rows.columns == docs.columns, name
+        assert all(x[y] == str(x["doc_id"]) for x in rows.collect() for y in names)
+
+
+def test_cut_archives_raise():
+    one, two = warc.record(1, "u", b"x" * 10, None), warc.record(2, "u", b"y" * 10, None)
+    assert len(list(warc.members([one + two]))) == 2
+    for n in (1, 5, 12, 18, len(two) - 1):
+        with pytest.raises(ValueError, match="ends inside"):
+            list(warc.members([one, two[:n]]))
+
+
+def test_wavelet_reads_only_what_it_needs():
+    r = np.random.default_rng(3)
+    ids = r.integers(0, 49_000, 1_500_000).astype(np.uint32)
+    matrix, *_ = wavelet.load(wavelet.dump(ids, [1], [len(ids)], 0))
+    places = r.integers(0, len(ids), 5)
+    assert (matrix.accessed(places) == ids[places]).all()
+    assert sum(len(x.read) for x in matrix.planes) < 0.9 * sum(len(x.offsets) - 1 for x in matrix.planes)
+    value = int(ids[77])
+    assert matrix.counted(value, [0, 10], [len(ids), 900_000]).tolist() == [int((ids == value).sum()), int((ids[10:900_000] == value).sum())]
+    assert matrix.occurrences(value) == np.flatnonzero(ids == value).tolist()
+
+
+def test_wavelet_of_other_rules_goes_to_the_library(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, texts = wavelet.WordEncoder(path), [t or "" for t in ODD]
+    assert not encoder.cut and wavelet.WordEncoder(public_tokenizers.path(wavelet.VOCABULARY)).cut
+    library = Tokenizer.from_file(path)
+    assert encoder.encode(texts) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_pieces_keep_no_long_segments():
+    coder = pieces.PieceCoder(public_tokenizers.path(pieces.MODEL))
+    coder.encode("a" + "xy" * 500 + " b " + "q" * 65)
+    assert all(len(x) <= pieces.KEPT for x in coder.known) and 0 < coder.held < 2000
+
+
+def test_toxicity_features_are_characters():
+    assert len(toxicity.features("日本語テキスト")) == 5 and len(toxicity.features("é")) == 1 and len(toxicity.features(" ")) == 0
+    assert toxicity.features("ab").tolist() != toxicity.features("ba").tolist()
+
+
+def test_jpeg_thumbnails_use_the_quantiser():
+    media = jpeg.encode([jpeg.padded("some text")[0]])[0]
+    at = media.index(b"\xff\xdb") + 5
+    eight = media[:at] + bytes([8]) + media[at + 1 :]
+    one, more = (jpeg.decode([x])[0][1][0][2] for x in (media, eight))
+    assert (one != more).any() and abs(more.astype(int) - 128).max() >= abs(one.astype(int) - 128).max()
+    with pytest.raises(ValueError, match="baseline"):
+        jpeg.decode([media.replace(b"\xff\xc0", b"\xff\xc2", 1)])
