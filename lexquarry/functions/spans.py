@@ -8,14 +8,23 @@ def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+BLOCK = 256
+
+
 def match_spans(text: str, pattern: str) -> str:
     """SQL for the matches of a pattern in order, as array<struct<start, stop, words>> in code points.
 
     The text between matches (split) and the matches themselves (extracted) have the lengths whose
-    running sum gives the offsets. The pattern mustn't match the empty string.
+    running sum gives the offsets, block by block, so that many matches in one text stay cheap. The pattern mustn't match the empty string.
     """
-    step = "named_struct('at', acc.at + length(x.p[i]) + length(x.m[i]), 'out', concat(acc.out, array(named_struct('start', acc.at + length(x.p[i]), 'stop', acc.at + length(x.p[i]) + length(x.m[i]), 'words', x.m[i]))))"
+    both = "cast(length(x.p[i]) + length(x.m[i]) as int)"
+    before = f"if(k = 0, 0, aggregate(sequence(0, greatest(k * {BLOCK} - 1, 0)), 0, (n, i) -> n + {both}))"
+    one = "named_struct('start', acc.at + length(x.p[i]), 'stop', acc.at + length(x.p[i]) + length(x.m[i]), 'words', x.m[i])"
     empty = "cast(array() as array<struct<start: int, stop: int, words: string>>)"
-    fold = f"if(size(x.m) = 0, {empty}, aggregate(sequence(0, size(x.m) - 1), named_struct('at', 0, 'out', {empty}), (acc, i) -> {step}, acc -> acc.out))"
+    block = (
+        f"aggregate(sequence(k * {BLOCK}, least(k * {BLOCK} + {BLOCK - 1}, size(x.m) - 1)), named_struct('at', {before}, 'out', {empty}), "
+        f"(acc, i) -> named_struct('at', acc.at + {both}, 'out', concat(acc.out, array({one}))), acc -> acc.out)"
+    )
+    whole = f"if(size(x.m) = 0, {empty}, flatten(transform(sequence(0, (size(x.m) - 1) div {BLOCK}), k -> {block})))"
     pair = f"array(named_struct('p', split({text}, {literal(pattern)}, -1), 'm', regexp_extract_all({text}, {literal(pattern)}, 0)))"
-    return f"transform({pair}, x -> {fold})[0]"
+    return f"transform({pair}, x -> {whole})[0]"

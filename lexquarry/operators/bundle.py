@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..sources.snapshot import Corpus
 from . import citing, graph
@@ -80,5 +79,5 @@ def case_rows(corpus: Corpus) -> DataFrame:
     anchored = chunks.select("chunk_ref", "links").join(told, "chunk_ref").withColumn("link", F.expr("get(filter(links, l -> contains(l.text, citation)), 0)")).drop("links")
     parsed = citing.parsed_citations(anchored)
     named = parsed.withColumn("parties", F.coalesce("parties", F.nullif(F.trim(F.expr("substring_index(link.text, citation, 1)")), F.lit(""))))
-    counted = named.withColumn("corpus_citation_count", F.count(F.lit(1)).over(Window.partitionBy("id")))
+    counted = named.join(named.groupBy("id").agg(F.count(F.lit(1)).alias("corpus_citation_count")), "id")
     return counted.select("id", "citation", "year", "series", "volume", "number", "parties", F.col("link.href").alias("href"), "chunk_ref", "page_ref", "part_id", "corpus_citation_count", (F.col("start") < 0).alias("citation_missing"))

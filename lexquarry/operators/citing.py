@@ -109,7 +109,7 @@ def emphasis_evidence(found: DataFrame, emphasis: DataFrame, docs: DataFrame, ke
     return found.join(best, [key, "id"], "left")
 
 
-def contained(docs: DataFrame, items: DataFrame, text: str, item: str) -> DataFrame:
+def contained(docs: DataFrame, items: DataFrame, text: str, item: str, key: str = "doc_id") -> DataFrame:
     """Pairs where the text holds the item, found by a hash join on three words and then tested.
 
     A text that holds an item holds its inner words, whole, at the same distance; items too short
@@ -121,8 +121,9 @@ def contained(docs: DataFrame, items: DataFrame, text: str, item: str) -> DataFr
     long = own.where(F.size("_w") >= 5).withColumn("_key", triples(F.col("_w"), 1, F.lit(1))[0]).drop("_w")
     short = own.where(F.size("_w") < 5).drop("_w")
     marked = docs.withColumn("_w", words(F.col(text)))
-    probes = marked.where(F.size("_w") >= 3).select("*", F.explode(F.array_distinct(triples(F.col("_w"), 0, F.size("_w") - 3))).alias("_key")).drop("_w")
-    keys = long.select("_key").distinct()
-    hits = probes.join(keys, "_key", "left_semi").join(long, "_key").where(F.contains(F.col(text), F.col(item))).drop("_key")
+    probes = marked.where(F.size("_w") >= 3).select(key, F.explode(F.array_distinct(triples(F.col("_w"), 0, F.size("_w") - 3))).alias("_key"))
+    # Only keys of documents are dealt out; the text joins the few that meet an item.
+    met = probes.join(long, "_key").drop("_key").distinct()
+    hits = docs.join(met, key).where(F.contains(F.col(text), F.col(item)))
     few = docs.join(short, F.contains(F.col(text), F.col(item)))
-    return hits.unionByName(few).distinct()
+    return hits.unionByName(few.select(*hits.columns)).distinct()

@@ -1,10 +1,8 @@
-"""Citation graph: weighted edges between groups, nodes with measures, visible subgraphs, layout."""
+"""Citation graph: weighted edges between groups, nodes with measures, visible subgraphs."""
 
 from __future__ import annotations
 
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,7 +18,7 @@ def nodes(edges: DataFrame) -> DataFrame:
     return ends.groupBy("id").agg(F.sum("weight").alias("degree"), F.count(F.lit(1)).alias("edge_count"), F.max("weight").alias("heaviest"))
 
 
-def visible(edges: DataFrame, kinds: list[str], least: int, weighted: list[str], allowed: DataFrame | None = None) -> DataFrame:
+def visible(edges: DataFrame, kinds: list[str], least: int | Column, weighted: list[str], allowed: DataFrame | None = None) -> DataFrame:
     """Edges of the kinds, of at least the weight where a kind is weighted, both ends among ``allowed`` (id)."""
     shown = edges.where(F.col("kind").isin(kinds) & (~F.col("kind").isin(weighted) | (F.col("weight") >= least)))
     if allowed is not None:
@@ -37,51 +35,3 @@ def neighbours(edges: DataFrame, node: str) -> DataFrame:
 
 def bounds(placed: DataFrame) -> DataFrame:
     return placed.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
-
-
-#: The layout's cooling: steps until the heat is at most ``COLD``.
-COOLING, COLD = 0.026, 0.001
-
-
-def laid_out(edges: DataFrame, component: str = "component") -> DataFrame:
-    """(component, id, x, y): deterministic force layout of each component in its own group.
-
-    The graph of parts is a rollup whose size doesn't grow with the corpus; the repulsion of all
-    pairs is worked out in blocks of rows.
-    """
-    import numpy as np
-
-    def seed(name: str) -> tuple[float, float]:
-        code = 2166136261
-        for unit in np.frombuffer(name.encode("utf-16-le"), np.uint16):
-            code = (code ^ int(unit)) * 16777619 & 0xFFFFFFFF
-        angle, radius = (code & 0xFFFF) / 65536 * 2 * np.pi, 100 + (code >> 16) / 65536 * 300
-        return radius * np.cos(angle), radius * np.sin(angle)
-
-    def place(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        names = sorted({*frame["source"], *frame["target"]})
-        index = {n: i for i, n in enumerate(names)}
-        at = np.array([seed(n) for n in names])
-        s, t = frame["source"].map(index).to_numpy(), frame["target"].map(index).to_numpy()
-        ends = np.bincount(np.concatenate([s, t]), minlength=len(names))
-        pull = 1 / np.minimum(ends[s], ends[t])
-        speed, heat = np.zeros_like(at), 1.0
-        while heat > COLD:
-            push = np.empty_like(at)
-            for a in range(0, len(at), 512):
-                gap = at[a : a + 512, None] - at[None]
-                far = (gap**2).sum(-1) + 1.0
-                push[a : a + 512] = (gap / far[..., None]).sum(1) * 600
-            gap = at[t] - at[s]
-            far = np.sqrt((gap**2).sum(-1)) + 1e-9
-            tug = (gap * ((far - 60) / far * pull * 0.5)[:, None])
-            np.add.at(push, s, tug)
-            np.add.at(push, t, -tug)
-            speed = np.clip((speed + (push - at * 0.02) * heat) * 0.6, -40, 40)
-            at, heat = at + speed, heat * (1 - COOLING)
-        return pd.DataFrame({component: key[0], "id": names, "x": np.round(at[:, 0], 3), "y": np.round(at[:, 1], 3)})
-
-    kind = edges.schema[component].dataType.simpleString()
-    return edges.select(component, F.col("source").cast("string"), F.col("target").cast("string")).groupBy(component).applyInPandas(place, f"{component} {kind}, id string, x double, y double")
-
-

@@ -7,7 +7,7 @@ from functools import reduce
 from operator import and_
 from urllib.parse import parse_qs, urlencode
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.snapshot import Corpus
@@ -119,9 +119,11 @@ def provisions(q: Question, found: DataFrame, edges: DataFrame | None = None) ->
 
 
 def with_edges(corpus: Corpus) -> DataFrame:
-    """Provisions with the distinct edges of their units, the first unit's on ties."""
+    """Provisions with the distinct edges of their units, of those equal in id, extraction and certainty the first unit's."""
     flat = F.flatten(F.transform("units", lambda u: F.coalesce(u["provisions"], F.array().cast(corpus.units.schema["provisions"].dataType))))
-    return corpus.provisions.withColumn("provisions", F.array_distinct(flat))
+    seen = lambda e: F.struct(e["id"], e["extraction"], F.coalesce(e["certainty"], F.lit("")))
+    rows = corpus.provisions.withColumn("_flat", flat).withColumn("_keys", F.transform("_flat", seen))
+    return rows.withColumn("provisions", F.filter("_flat", lambda e, i: F.array_position("_keys", seen(e)) == i + 1)).drop("_flat", "_keys")
 
 
 def search(corpus: Corpus, q: Question) -> dict[str, DataFrame]:
@@ -130,4 +132,7 @@ def search(corpus: Corpus, q: Question) -> dict[str, DataFrame]:
 
 def grouped(found: DataFrame, group: str, ref: str, cap: int = 200) -> DataFrame:
     """Results by group: how many, and the first ``cap`` addresses."""
-    return found.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.slice(F.array_sort(F.collect_list(ref)), 1, cap).alias("refs"))
+    sizes = found.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    first = found.select(group, ref).withColumn("_at", F.row_number().over(Window.partitionBy(group).orderBy(ref))).where(F.col("_at") <= cap)
+    listed = first.groupBy(F.col(group).alias("_group")).agg(F.array_sort(F.collect_list(ref)).alias("refs"))
+    return sizes.join(listed, F.col(group).eqNullSafe(F.col("_group")), "left").select(group, "n", "refs")

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from ..functions import markup
 from ..functions import text as T
-from ..operators import changes, citing, graph, layout, relations
+from ..operators import changes, citing, graph, layout, relations, views
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -301,7 +301,8 @@ def adjacent_evidence(read):
     events = read("events", "event_id", "ts", "user_id", "event_type", "value")
     anchors = events.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("anchor"), F.col("ts").alias("at"))
     marks = events.where("event_type = 'click'").select("user_id", F.col("event_id").alias("mark"), "ts", "value")
-    return relations.near_before(anchors, marks, "user_id", F.expr("ts <= at and ts >= at - interval 6 hours"), [F.desc("value"), F.col("ts"), F.col("mark")]).select("user_id", "anchor", "mark", "value")
+    best = views.as_of(anchors, marks, "user_id", "at", "ts", 6 * 3600, [F.col("value").isNull().alias("a"), (-F.col("value")).alias("b"), F.col("ts").alias("c"), F.col("mark").alias("d")], ["mark", "value"])
+    return best.select("user_id", "anchor", "mark", "value")
 
 
 @query("select doc_id, item_id from documents d join benchmark b on instr(d.text, b.text) > 0")
@@ -370,7 +371,7 @@ def graph_nodes_degree(read):
 select source, target, weight, kind from k where (kind = 'back' or weight >= (select avg(weight) from g)) and source in (select n_name from nation where n_regionkey < 3) and target in (select n_name from nation where n_regionkey < 3)""")
 def graph_visible(read):
     edges = _graph(read).withColumn("kind", F.when(F.col("source") < F.col("target"), "forward").otherwise("back"))
-    least = edges.agg(F.avg("weight")).first()[0] or 0
+    least = edges.agg(F.avg("weight")).scalar()
     return graph.visible(edges, ["forward", "back"], least, ["forward"], read("nation").where("n_regionkey < 3").select(F.col("n_name").alias("id"))).select("source", "target", "weight", "kind")
 
 
@@ -423,7 +424,8 @@ def corpus_stats(read):
 @query(f"""with {LINKS_SQL}, t as (select page_id, href, count(*) over (partition by href) as corpus_count from links)
 select page_id, href, corpus_count from t""")
 def citation_counts(read):
-    return _links(read).select("page_id", "href", F.count(F.lit(1)).over(Window.partitionBy("href")).alias("corpus_count"))
+    links = _links(read).select("page_id", "href")
+    return links.join(links.groupBy("href").agg(F.count(F.lit(1)).alias("corpus_count")), "href").select("page_id", "href", "corpus_count")
 
 
 @query()
@@ -444,9 +446,3 @@ def html_chunks(read):
 @query()
 def unit_addressing(read):
     return layout.addressed_units(read("conversations"))
-
-
-@query()
-def force_layout(read):
-    return graph.laid_out(_graph(read).withColumn("component", F.lit("nations")))
-

@@ -33,9 +33,11 @@ def state(spark: SparkSession, folder: str, batch: int) -> DataFrame:
 
 
 def usable(fetched: DataFrame) -> DataFrame:
-    """The last good answer of each url in a batch; a 304 brings nothing new, other statuses are unreachable."""
+    """The last good answer of each url in a batch, by its HTTP date; a 304 brings nothing new, other statuses are unreachable."""
     good = fetched.where("status = 200 and html is not null")
-    return good.groupBy("url").agg(F.max_by("html", F.coalesce("last_modified", F.lit(""))).alias("html")).withColumn("digest", F.sha2("html", 256))
+    stamp = F.regexp_replace("last_modified", "^[A-Za-z]+, ", "")
+    when = F.coalesce(F.try_to_timestamp(stamp, F.lit("dd MMM yyyy HH:mm:ss 'GMT'")), F.try_to_timestamp(stamp), F.lit(0).cast("timestamp"))
+    return good.groupBy("url").agg(F.max_by("html", F.struct(when, "html")).alias("html")).withColumn("digest", F.sha2("html", 256))
 
 
 def unreachable(fetched: DataFrame) -> DataFrame:

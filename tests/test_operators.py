@@ -11,8 +11,9 @@ import pytest
 
 from lexquarry.functions import markup
 from lexquarry.functions import text as T
-from lexquarry.operators import citing, graph, layout, relations
+from lexquarry.operators import citing, layout, relations, search, views
 from lexquarry.plans import catalog
+from lexquarry.plans import views as view_queries
 from lexquarry.sources.docx import document_blocks
 from lexquarry.streaming import incremental
 
@@ -120,12 +121,6 @@ def test_docx(spark):
     assert (found[1]["grid"][0][0]["colspan"], found[1]["grid"][0][0]["continues"]) == (2, True) and found[2]["problem"]
 
 
-def test_graph_layout_is_deterministic(spark):
-    edges = spark.createDataFrame([("g", "a", "b", 1), ("g", "b", "c", 2)], "component string, source string, target string, weight long")
-    a, b = (sorted(map(tuple, graph.laid_out(edges).collect())) for _ in range(2))
-    assert a == b and len({x[2:] for x in a}) == 3
-
-
 def test_as_of_and_prefixes(spark):
     refs = spark.createDataFrame([("h", "/a/b/c"), ("h", "/x/y"), ("h", "")], "g string, p string")
     known = spark.createDataFrame([("h", "/a"), ("h", "/a/b"), ("k", "/x")], "g string, q string")
@@ -142,3 +137,44 @@ def test_stream_merges_and_is_idempotent(spark, tmp_path):
     run()
     assert seen == [["a", "b"], ["b"]]
     assert {r["url"]: (r["html"], r["first_seen"]) for r in incremental.state(spark, str(tmp_path / "state"), 99).collect()} == {"a": ("x", "t0"), "b": ("z", "t1")}
+
+
+def test_view_queries_are_registered():
+    assert {"spans_in_blocks", "passage_search", "bundle_facets"} <= set(catalog.QUERIES) and view_queries.passage_search
+
+
+def test_scope_and_required_raise(spark):
+    pages = spark.createDataFrame([("p1", 2, "b"), ("p1", 1, "a"), ("p2", 1, "c")], "part string, ordinal int, ref string")
+    assert [r["ref"] for r in views.scoped(pages, "p1", 1, "part", views.reading_order("part", "ordinal", "ref")).collect()] == ["a"]
+    with pytest.raises(ValueError, match="p9"):
+        views.scoped(pages, "p9", None, "part", [])
+    with pytest.raises(Exception, match="no page c"):
+        views.required(pages, "ref", pages.where("ref <> 'c'").select(pages["ref"].alias("known")), "known", "page").collect()
+
+
+def test_as_of_takes_the_tolerance_and_ties(spark):
+    anchors = spark.createDataFrame([("u", 1, "2020-01-01 06:00:00"), ("u", 2, "2020-01-01 00:00:01")], "g string, anchor int, at string").selectExpr("g", "anchor", "cast(at as timestamp_ntz) as at")
+    marks = spark.createDataFrame([("u", 7, "2020-01-01 00:00:00"), ("u", 8, "2020-01-01 06:00:01"), ("v", 9, "2020-01-01 05:00:00"), ("u", 6, "2020-01-01 00:00:00")], "g string, mark int, ts string").selectExpr("g", "mark", "cast(ts as timestamp_ntz) as ts")
+    best = views.as_of(anchors, marks, "g", "at", "ts", 6 * 3600, [marks["mark"]], ["mark"])
+    assert {(r["anchor"], r["mark"]) for r in best.collect()} == {(1, 6), (2, 6)}
+
+
+def test_first_unit_wins_in_search(spark):
+    from types import SimpleNamespace
+
+    edge = "array<struct<id:string,extraction:string,certainty:string,mention:string>>"
+    provisions = spark.createDataFrame([("A/s1", [([("A/s2", "regex", None, "first")],), ([("A/s2", "regex", None, "second"), ("A/s3", "regex", "default", "x")],)])], f"ref string, units array<struct<provisions:{edge}>>")
+    corpus = SimpleNamespace(provisions=provisions, units=SimpleNamespace(schema={"provisions": SimpleNamespace(dataType=edge)}))
+    assert [(e["id"], e["mention"]) for e in search.with_edges(corpus).first()["provisions"]] == [("A/s2", "first"), ("A/s3", "x")]
+
+
+def test_highlights_of_special_characters(spark):
+    docs = spark.createDataFrame([(1, "a.b A.B axb (c) " + "a.b" * 600), (2, None)], "doc_id long, text string")
+    found = views.highlights(docs, "doc_id", "text", "A.b").orderBy("start").collect()
+    assert [(r["start"], r["stop"]) for r in found[:3]] == [(0, 3), (4, 7), (16, 19)] and len(found) == 602 and found[-1]["stop"] == 16 + 1800
+
+
+def test_newest_answer_by_http_date(spark):
+    rows = [("u", 200, "old", None, "Wed, 30 Dec 2020 10:00:00 GMT"), ("u", 200, "new", None, "Fri, 01 Jan 2021 10:00:00 GMT"), ("u", 200, "none", None, None)]
+    fetched = spark.createDataFrame(rows, "url string, status int, html string, etag string, last_modified string")
+    assert [r["html"] for r in incremental.usable(fetched).collect()] == ["new"]
