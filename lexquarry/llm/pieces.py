@@ -29,7 +29,7 @@ from .shared import arrow_batch
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "\u2581"
-CACHE_BYTES, CACHE_PAIRS, KEPT = 60 << 20, 150_000, 64  # bytes of kept segments, all told; longest one that is kept
+CACHE_BYTES, CACHE_PAIRS, KEPT = 60 << 20, 600_000, 64  # bytes of kept segments, all told; longest one that is kept
 
 
 class PieceCoder:
@@ -90,11 +90,10 @@ class PieceCoder:
         return [x for x in parts if x]
 
     def _fits(self, left: str, right: str) -> bool:
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) > CACHE_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[left, right] = self.merge(left + right) == [left, right]
+        """Whether merging both texts anew gives just these two pieces; kept in ``pairs``."""
+        if len(self.pairs) > CACHE_PAIRS:
+            self.pairs.clear()
+        found = self.pairs[left, right] = self.merge(left + right) == [left, right]
         return found
 
     def _prefix(self, piece: str | None) -> str | None:
@@ -108,27 +107,34 @@ class PieceCoder:
 
     def backtrack(self, text: str) -> list[str]:
         """The pieces of known characters, by longest matches and steps back."""
-        longest = [1] * len(text)
-        for end, size in self.automaton.iter(text):
-            start = end - size + 1
-            if size > longest[start]:
-                longest[start] = size
+        size, pairs = len(text), self.pairs
+        longest = [1] * size
+        for end, n in self.automaton.iter(text):  # of one start, later ends are longer pieces
+            longest[end - n + 1] = n
         out: list[str] = []
-        at, size = 0, len(text)
         failed: bytearray | None = None
+        at, last = 0, None
         piece: str | None = text[: longest[0]] if text else None
         while at < size:
-            while piece is not None and (failed and failed[(at + len(piece)) >> 3] >> (at + len(piece) & 7) & 1 or (out and not self._fits(out[-1], piece))):
+            while piece is not None:
+                end = at + len(piece)
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                    if last is None:
+                        break
+                    found = pairs.get((last, piece))
+                    if found or (found is None and self._fits(last, piece)):
+                        break
                 piece = self._prefix(piece)
             if piece is not None:
                 out.append(piece)
-                at += len(piece)
+                last, at = piece, end
                 piece = text[at : at + longest[at]] if at < size else None
             elif out:
                 failed = failed or bytearray(size // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 piece = out.pop()
                 at -= len(piece)
+                last = out[-1] if out else None
                 piece = self._prefix(piece)
             else:
                 raise AssertionError(f"no encoding of {text!r}")
