@@ -52,12 +52,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/lexquarry/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = new_folder(spark, name)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(schema).parquet(path)
 
 
