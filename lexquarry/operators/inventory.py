@@ -37,10 +37,10 @@ def inventory_problems(pages: DataFrame) -> DataFrame:
 
 
 def anchor_ref(page_ref: Column, href: Column) -> Column:
-    """The chunk that a link's fragment asks for: numbers as a path, words as their slug."""
+    """The chunk that a link's fragment asks for: the number that a heading's slug begins with as a path, other words as their slug."""
     fragment = F.regexp_extract(href, "#(.*)$", 1)
-    number = F.regexp_extract(fragment, r"^_?([0-9]+(?:[._-][0-9]+)*)$", 1)
-    tail = F.when(number != "", F.regexp_replace(number, "[._-]", "/")).otherwise(slug(fragment))
+    number = F.regexp_extract(fragment, r"^_?([0-9]{1,3}[A-Z]?(?:\.[0-9]+)*)(?=-|$)", 1)
+    tail = F.when(number != "", F.replace(number, F.lit("."), F.lit("/"))).otherwise(slug(fragment))
     return F.when(tail == "", page_ref).otherwise(F.concat_ws("/", page_ref, tail))
 
 
