@@ -73,8 +73,8 @@ def stored_size(files: DataFrame, size: Column) -> DataFrame:
 
 
 def first_seen(items: DataFrame, key: str, value: str, order: list[str]) -> DataFrame:
-    """(key, first value in order, n)."""
-    return items.groupBy(key).agg(F.min_by(value, F.struct(*order)).alias(value), F.count(F.lit(1)).alias("n"))
+    """(key, first value in order, n); of values that come first together, the least."""
+    return items.groupBy(key).agg(F.min_by(value, F.struct(*order, value)).alias(value), F.count(F.lit(1)).alias("n"))
 
 
 def counters(rows: DataFrame, tests: dict[str, Column]) -> DataFrame:
