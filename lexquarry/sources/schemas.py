@@ -43,5 +43,11 @@ INSTRUMENT = (
     "amendments ARRAY<STRUCT<affect:STRING,markdown:STRING,title_id:STRING,name:STRING,provisions:STRING,series_type:STRING,year:INT,number:INT>>, "
     "document STRUCT<format:STRING,content_hash:STRING,bytes:BIGINT>, counts STRUCT<containers:INT,provisions:INT,units:INT>"
 )
+MANIFEST = (
+    "crawled_at STRING, finished_at STRING, extractor_version STRING, corpus STRUCT<chunks:INT,links:INT,pages:INT,parts:INT,raw_files:INT,raw_bytes:BIGINT,mean_raw_bytes:BIGINT>, "
+    "run STRUCT<complete:BOOLEAN,force:BOOLEAN,from_raw:BOOLEAN,limit:INT,part:STRING,unreachable:ARRAY<STRUCT<page_ref:STRING,url:STRING,status:INT>>,refs_settled:ARRAY<STRING>,retired:ARRAY<STRING>,"
+    "archived:INT,chunks_cut:INT,chunks_changed:INT,not_modified:INT,pages_fetched:INT,pages_in_scope:INT,pages_parsed:INT,pages_written:INT,raw_written:INT,skipped_not_modified:INT,unchanged:INT>, "
+    "source STRUCT<manual_root:STRING,seed:STRING>"
+)
 FETCHED = "url STRING, status INT, html STRING, etag STRING, last_modified STRING"
 FAILURE = "check STRING, where STRING, message STRING"

@@ -6,8 +6,9 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ..functions.text import digest
 from . import schemas
@@ -132,10 +133,28 @@ def wrong_sizes(documents: DataFrame, expected: DataFrame, key: str) -> DataFram
     return documents.join(expected.select(key, F.col("bytes").alias("_stated")), key).where("bytes <> _stated")
 
 
+def ordered(value: Column, kind: DataType) -> Column:
+    """The value with the fields of every struct in it in alphabetical order, and its maps by key, at any depth."""
+    if isinstance(kind, StructType):
+        fields = [ordered(value[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)]
+        return F.when(value.isNotNull(), F.struct(*fields)) if fields else value
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: ordered(x, kind.elementType))
+    if isinstance(kind, MapType):
+        entries = F.array_sort(F.map_entries(value))
+        return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"].alias("key"), ordered(e["value"], kind.valueType).alias("value"))))
+    return value
+
+
+def in_order(df: DataFrame) -> DataFrame:
+    """Columns, and all within them, in alphabetical order."""
+    return df.select(*[ordered(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in sorted(df.schema.fields, key=lambda f: f.name)])
+
+
 def canonical_json(df: DataFrame, key: str) -> DataFrame:
-    """(key, json, digest): each row as JSON with its fields in alphabetical order, so equal content has equal bytes."""
-    fields = sorted(c for c in df.columns)
-    return df.select(F.col(key), F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("json")).withColumn("digest", digest(F.col("json")))
+    """(key, json, digest): each row as JSON with fields and map keys in alphabetical order at any depth, so equal content has equal bytes."""
+    rows = in_order(df)
+    return rows.select(F.col(key), F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("json")).withColumn("digest", digest(F.col("json")))
 
 
 def write_changed(fresh: DataFrame, stored: DataFrame, key: str, path: str, part: str) -> DataFrame:
