@@ -9,9 +9,12 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
+import sentencepiece
+from pyspark.ml.linalg import Vectors
 
 import corpus_pipeline
-from lexquarry.llm import decontaminate, html, jpeg, neardup, pieces, pii, registry, secrets, shared, toxicity, warc, wavelet
+from lexquarry.llm import decontaminate, html, jpeg, native, neardup, pieces, pii, registry, secrets, shared, toxicity, warc, wavelet
 
 ODD = [None, "", " \t ", "a", "É é ß’s µ 12a3 IT'S <|endoftext|> x<|y\x85k\x1c ΣΑΣ", "日本語 テキスト 🙂 👩‍👩‍👧 \x00", "x" * 40_000, " " * 300 + "t", "same", "same"]
 
@@ -424,6 +427,99 @@ def test_pipeline(spark, folder):
     assert state.count() == len(kept) and sum(r["n_tokens"] for r in state.collect()) > 0
 
 
+def test_pipeline_against_brute_force(spark, folder):
+    """All five stages over the whole table, worked out again one document after another."""
+    root, docs, _, items = folder
+    labels, table = (spark.read.parquet(f"{root}/{x}.parquet") for x in ("labels", "documents"))
+    scores = toxicity.train(table, labels).scores(docs)
+    kept = [i for i in range(len(docs)) if scores[i] < 0.5]
+    assert 0 < len(kept) < len(docs)
+
+    def bag(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+    bags, first = {i: bag(docs[i]) for i in kept}, {i: i for i in kept}
+    for i in kept:
+        for j in kept:
+            if j < i and bags[i] and 100 * len(bags[i] & bags[j]) >= 80 * len(bags[i] | bags[j]) and first[i] != first[j]:
+                low, high = sorted((first[i], first[j]))
+                first = {k: low if v == high else v for k, v in first.items()}
+    alone = [i for i in kept if first[i] == i]
+    assert len(alone) < len(kept)
+    shared_words = [(x.split(), set(zip(*[x.split()[k:] for k in range(5)], strict=False))) for x in items]
+    leaks = [i for i in alone if any(own & bags[i] and brute_leaks([docs[i]], [words]) for words, own in shared_words)]
+    assert leaks and len(leaks) < len(alone)
+
+    def redacted(t):
+        spans = sorted((m.start(), -m.end(), m.end(), k.upper()) for k, p, ok in BASE for m in re.finditer(p, t) if ok(m[0], re.sub("[^0-9]", "", m[0])))
+        out, at = "", 0
+        for start, _, stop, kind in spans:
+            if start >= at:
+                out += f"{t[at:start]}[{kind}]"
+            at = max(at, stop)
+        return out + t[at:]
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(pieces.MODEL))
+    want = {}
+    for i in set(alone) - set(leaks):
+        ids = library.encode(redacted(docs[i] or ""))
+        want[i] = (len(ids), ids, hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest())
+    got = [(r["doc_id"], (r["n_tokens"], list(r["ids"]), r["ids_sha256"], r["decoded_sha256"])) for r in corpus_pipeline.run(spark, root).collect()]
+    assert len(got) == len(want) and dict(got) == want
+
+
+def test_compiled_forests_are_the_models(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    rows = spark.range(400).selectExpr("array(rand(1), rand(2), cast(id % 7 as double)) as f").selectExpr("f", "cast(f[0] + f[1] * f[2] > 2 as double) as label").withColumn("features", array_to_vector("f")).cache()
+    model = RandomForestClassifier(numTrees=5, maxDepth=4, seed=3).fit(rows)
+    votes = model.transform(rows).selectExpr("f", f"{native.forest_sql(model, 'f')} as votes").collect()
+    assert [x["votes"] for x in votes] == [sum(tree.predict(Vectors.dense(x["f"])) for tree in model.trees) for x in votes] and len({x["votes"] for x in votes}) > 2
+
+
+def test_secrets_query_against_brute_force(spark, tmp_path):
+    """Candidates, their places and features found in Python; only the fitted trees are the query's."""
+    r = random.Random(11)
+    bits = ["password=", "api_key: ", "token = ", "commit ", " ", "\n", "the report ", "AKIA", "ghp_", "x", "9", "Zx8", "/usr/lib9/a/b", "=", "-", "example", '"', "é🙂", hashlib.sha1(b"a").hexdigest(), hashlib.md5(b"b").hexdigest()[:17], "2024-01-10T10:20:30"]
+    texts = ODD + ["".join(r.choice(bits) for _ in range(r.randrange(1, 30))) for _ in range(400)]
+    paths = [None, "", "src/tests/fixture", "docs/readme", "web"]
+    rows = [(i, t, paths[i % 5]) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    name = rf"(?:{secrets.NAMES})[A-Za-z0-9_-]{{0,16}}[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?"
+    assigned, token = rf"(?i)(?<![A-Za-z]){name}[A-Za-z0-9+/_.~-]{{6,}}+={{0,2}}", r"(?i)(?:\G|(?<![A-Za-z0-9+/_-]))(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+={0,2}"
+    share = lambda v, p: len(regex.findall(p, v)) / max(len(v), 1)
+    has = lambda p, v: float(bool(regex.search(p, v)))
+
+    def candidates(t, path):
+        at = 0
+        found = list(regex.finditer(f"{assigned}|{token}", t, flags=regex.ASCII))
+        for m in found:
+            lead = regex.match(rf"(?i){name}", m[0], flags=regex.ASCII)
+            v = m[0][lead.end() :] if lead else m[0]
+            b = t[at : m.start()][-32:] + (lead[0] if lead else "")
+            at, low, path = m.end(), v.lower(), (path or "").lower()
+            features = [
+                len(v), share(v, "[0-9]"), share(v, "[A-Z]"), share(v, "[a-z]"), share(v, "[a-z](?=[A-Z0-9])|[A-Z](?=[a-z0-9])|[0-9](?=[A-Za-z])"),
+                share(low, "[aeiou](?=[b-df-hj-np-tv-z])|[b-df-hj-np-tv-z](?=[aeiou])"), 1 - len(regex.sub(secrets.WORDS, "", low)) / max(len(v), 1), len(set(v)), has("^[0-9a-fA-F]+$", v),
+                has("^(?:AKIA|ASIA|ghp_|gho_|github_pat_|xox[abps]-|sk_live_|sk-|AIza|eyJ|glpat-)", v), has("^[0-9a-f]{8}-[0-9a-f]{4}-|^[0-9]+$|^[0-9]{4}-[0-9]{2}-[0-9]{2}", v), float(bool(lead)),
+                has('(?:key|token|secret|password|passwd|auth|bearer|credential)[a-z_-]*[ =:"]*$', b.lower()), has(r"example|sample|dummy|placeholder|changeme|your[_-]|xxxx|<|\$\{|todo|fake", f"{b} {v}".lower()),
+                has('(?:commit|sha1|sha256|md5|hash|digest|checksum|etag|uuid|guid|id|revision|isbn|phone|tel)[a-z_-]*[ =:"#]*$', b.lower()), has("test|example|fixture|mock|sample|docs?/|readme|vendor|node_modules|lock", path), has("[/].*[/]", v),
+            ]
+            yield m.end() - len(v), m.end(), [float(x) for x in features]
+
+    flat = [(i, *c) for i, t, path in rows for c in candidates(t or "", path)]
+    score = secrets.fitted(spark).replace("{f}", "f")
+    found = spark.createDataFrame(flat, "i long, s long, e long, f array<double>").selectExpr("i", "s", "e", f"{score} as score").collect()
+    n, spans = Counter(x[0] for x in flat), defaultdict(list)
+    for x in sorted(found):
+        if x["score"] >= secrets.SHARE:
+            spans[x["i"]].append(f"{x['s']}:{x['e']}")
+    got = {x["doc_id"]: (x["n_candidates"], x["n_secrets"], x["spans"]) for x in secrets.op1_secret_scan(spark, str(tmp_path)).collect()}
+    assert got == {i: (n[i], len(spans[i]), ",".join(spans[i])) for i, _, _ in rows} and len(spans) > 20
+
+
 def test_large_ids_stay_exact_beside_null(spark, tmp_path):
     long = "copy " * 300
     pages = [(BIG[0], "http://h.org/a", f"<p>own {BIG[0]}</p>"), (BIG[1], "http://h.org/b", f"<p>{long}</p>"), (BIG[1] + 2, "http://h.org/c", f"<p>{long}</p>"), (None, "http://h.org/d", "<p>z</p>")]
