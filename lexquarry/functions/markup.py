@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed values of the HTML vocabulary.
@@ -143,8 +143,36 @@ def table_grid(table: Node) -> dict:
     return {"rows": len(cells), "columns": max((sum(c["colspan"] for c in r) for r in cells), default=0), "header_row": header, "cells": cells}
 
 
-def blocks(root: Node) -> list[dict]:
-    """Paragraphs, list items (with depth), headings, images and tables in order; other text as text blocks."""
+#: What sets a heading in bold, what may wrap that, and the number such a heading begins with.
+BOLD, INLINE = frozenset({"strong", "b"}), frozenset({"span", "em", "u", "i"})
+NUMBERED = re.compile(r"([0-9]{1,3}(?:\.[0-9]{1,3})+)(\([a-z0-9]{1,3}\))?\.?(?=\s|:|$)")
+
+
+def page_number(ref: str) -> str | None:
+    """The dotted number of an address below its part; null if any segment is no number."""
+    tail = ref.split("/")[2:]
+    return ".".join(tail) if tail and all(re.fullmatch("[0-9]{1,3}", x) for x in tail) else None
+
+
+def bold_heading(node: Node, number: str | None) -> int | None:
+    """The level of a paragraph that is bold throughout and numbered below its page's own number; other bold text is prose."""
+    inner = node
+    while inner.tag not in BOLD:
+        kept = [c for c in inner.children if isinstance(c, Node) or c.strip()]
+        if len(kept) != 1 or not isinstance(kept[0], Node) or kept[0].tag not in BOLD | INLINE:
+            return None
+        inner = kept[0]
+    found = NUMBERED.match(flattened(node)[0])
+    if not number or not found or not found[1].startswith(f"{number}."):
+        return None
+    return found[1].count(".") + 2 + bool(found[2])
+
+
+def blocks(root: Node, number: str | None = None) -> list[dict]:
+    """Paragraphs, list items (with depth), headings (with level and source), images and tables in order; other text as text blocks.
+
+    With the page's ``number``, bold paragraphs numbered below it are headings too.
+    """
     out: list[dict] = []
     loose: list[str] = []
 
@@ -160,8 +188,12 @@ def blocks(root: Node) -> list[dict]:
             loose.append(node)
             continue
         kind = {"p": "paragraph", "li": "list_item", "table": "table", "img": "image"}.get(node.tag) or ("heading" if re.fullmatch("h[1-6]", node.tag) else None)
+        bold = bold_heading(node, number) if number and (kind == "paragraph" or node.tag in BOLD) else None
         if node.tag in SKIPPED and node is not root:
             flush()
+        elif bold:
+            flush()
+            out.append({"kind": "heading", "depth": None, "text": flattened(node)[0], "level": bold, "source": "emphasis"})
         elif kind == "image":
             flush()
             out.append({"kind": "image", "depth": None, "text": None})
@@ -175,7 +207,7 @@ def blocks(root: Node) -> list[dict]:
         elif kind and not (kind == "paragraph" and any(find(c, "p", "table", "ul", "ol", "div") for c in node.children if isinstance(c, Node))):
             flush()
             if text := flattened(node)[0]:
-                out.append({"kind": kind, "depth": None, "text": text})
+                out.append({"kind": kind, "depth": None, "text": text} | ({"level": int(node.tag[1]), "source": "markup"} if kind == "heading" else {}))
         else:
             if node.tag in BLOCK:
                 flush()
@@ -198,27 +230,37 @@ def canonical(root: Node) -> str:
 
 NUMBER = re.compile(r"^\s*([0-9]+(?:\.[0-9]+)*)[.:]?(?:\s|$)")
 LIMIT, LEAST = 2400, 120
+#: Fixed value: a shorter heading without text is a marker, no passage.
+MARKER = 5
 
 
 def slug(text: str) -> str:
     return re.sub("[^a-z0-9]+", "-", text.lower()).strip("-")
 
 
-def sections(found: list[dict], levels: list[int]) -> list[tuple[list[str], list[str]]]:
-    """Blocks cut at headings, each with its heading path: a stack by level."""
-    out: list[tuple[list[str], list[str]]] = [([], [])]
+def sections(found: list[dict]) -> list[tuple[list[str], list[str], str | None]]:
+    """Blocks cut at headings, each section with its heading path, a stack by level, and what told its heading.
+
+    A heading without text of its own is its section's text, unless a section below opens next, whose path has it, or it
+    is shorter than ``MARKER``.
+    """
+    out: list[tuple[list[tuple[int, str]], list[str], str | None]] = [([], [], None)]
     stack: list[tuple[int, str]] = []
-    at = 0
     for block in found:
         if block["kind"] == "heading":
-            level, at = levels[at], at + 1
-            while stack and stack[-1][0] >= level:
+            while stack and stack[-1][0] >= block["level"]:
                 stack.pop()
-            stack.append((level, block["text"]))
-            out.append(([x for _, x in stack], []))
+            stack.append((block["level"], block["text"]))
+            out.append((list(stack), [], block["source"]))
         elif block["text"]:
             out[-1][1].append(block["text"])
-    return [(path, texts) for path, texts in out if texts]
+    # The next section's path is longer only if its heading lies below this one.
+    opens = [len(after[0]) > len(here[0]) for here, after in zip(out, out[1:], strict=False)] + [False]
+    kept = []
+    for (path, texts, source), below in zip(out, opens, strict=True):
+        if texts or path and not below and len(path[-1][1]) >= MARKER:
+            kept.append(([x for _, x in path], texts or [path[-1][1]], source))
+    return kept
 
 
 def packed(texts: list[str]) -> list[list[str]]:
@@ -238,18 +280,18 @@ def packed(texts: list[str]) -> list[list[str]]:
     return out
 
 
-def addressed(page: str, cut: list[tuple[list[str], list[str]]]) -> list[dict]:
+def addressed(page: str, cut: list[tuple[list[str], list[str], str | None]]) -> list[dict]:
     """Chunks with addresses: the heading's number as a path, else its slug, else ``#n``; ``~i`` for fragments."""
-    labels = [slug(path[-1]) if path else "" for path, _ in cut]
+    labels = [slug(path[-1]) if path else "" for path, _, _ in cut]
     out = []
-    for i, (path, texts) in enumerate(cut):
+    for i, (path, texts, source) in enumerate(cut):
         number = NUMBER.match(path[-1]) if path else None
         repeated = not labels[i] or labels.count(labels[i]) > 1
         tail = number[1].replace(".", "/") if number and not repeated else labels[i] if labels[i] and not repeated else f"#{i + 1}"
         groups = packed(texts)
         for k, group in enumerate(groups):
             ref = f"{page}/{tail}" + (f"~{k + 1}" if len(groups) > 1 else "")
-            out.append({"chunk_ref": ref, "ordinal": len(out) + 1, "heading_path": path, "text": " ".join(group), "fragments": len(groups)})
+            out.append({"chunk_ref": ref, "ordinal": len(out) + 1, "heading_path": path, "heading_source": source, "text": " ".join(group), "fragments": len(groups)})
     return out
 
 
@@ -258,16 +300,16 @@ def _body(html: str | None) -> Node:
     return find(root, "main") or find(root, "article") or find(root, "body") or root
 
 
-def _mapped(pages: DataFrame, rows, schema: str) -> DataFrame:
+def _mapped(pages: DataFrame, rows, schema: str, *more: Column) -> DataFrame:
     names = [x.strip().split(" ")[0] for x in re.sub(r"<[^>]*>", "", schema).split(",")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), 200):
                 some = batch.iloc[start : start + 200]
-                yield pd.DataFrame([r for page, html in zip(some["page_id"], some["html"], strict=True) for r in rows(page, html)], columns=names)
+                yield pd.DataFrame([r for given in zip(*[some[c] for c in some.columns], strict=True) for r in rows(*given)], columns=names)
 
-    return pages.select("page_id", "html").mapInPandas(run, schema)
+    return pages.select("page_id", "html", *[c.alias(f"more{i}") for i, c in enumerate(more)]).mapInPandas(run, schema)
 
 
 def page_blocks(pages: DataFrame) -> DataFrame:
@@ -300,17 +342,19 @@ def broken_spans(pages: DataFrame) -> DataFrame:
 
 
 def page_chunks(pages: DataFrame) -> DataFrame:
-    """(page_id, chunk_ref, ordinal, heading_path, text, fragments, content_hash) of every page's chunks."""
+    """(page_id, chunk_ref, ordinal, heading_path, heading_source, text, fragments, content_hash) of every page's chunks.
 
-    def rows(page, html):
-        body = _body(html)
-        levels = [int(x.tag[1]) for kind, x in walk(body) if kind == "open" and re.fullmatch("h[1-6]", x.tag) and flattened(x)[0]]
-        found = blocks(body)
-        levels += [6] * (sum(b["kind"] == "heading" for b in found) - len(levels))
-        return [(page, c["chunk_ref"], c["ordinal"], c["heading_path"], c["text"], c["fragments"]) for c in addressed(f"P/{page}", sections(found, levels))]
-
-    cut = _mapped(pages, rows, "page_id long, chunk_ref string, ordinal int, heading_path array<string>, text string, fragments int")
-    return cut.withColumn("content_hash", F.concat(F.lit("sha256:"), F.sha2("text", 256)))
+    Addresses begin with the page's ``page_ref``, where ``pages`` has that column, else with its id.
+    """
+
+    def rows(page, html, ref):
+        cut = addressed(ref, sections(blocks(_body(html), page_number(ref))))
+        return [(page, c["chunk_ref"], c["ordinal"], c["heading_path"], c["heading_source"], c["text"], c["fragments"]) for c in cut]
+
+    own = F.concat_ws("/", F.lit("P"), "page_id")
+    ref = F.coalesce("page_ref", own) if "page_ref" in pages.columns else own
+    schema = "page_id long, chunk_ref string, ordinal int, heading_path array<string>, heading_source string, text string, fragments int"
+    return _mapped(pages, rows, schema, ref).withColumn("content_hash", F.concat(F.lit("sha256:"), F.sha2("text", 256)))
 
 
 def page_tables(pages: DataFrame) -> DataFrame:

@@ -79,6 +79,19 @@ def test_markup(spark):
     assert markup.page_images(pages).collect()[0]["alt"] is None
 
 
+def test_bold_headings_and_headings_without_text(spark):
+    html = """<main><h1>Page</h1><h2>Empty</h2><h2>Over</h2><h3>Below</h3><p>a</p><h3>A</h3><p><b>3.1 First</b></p><p>b</p><p><span><em><strong>3.1.2(a): Deep</strong></em></span></p><p>c</p>
+    <p><b>3.2</b> in prose</p><p><b>4.1 Another page's</b></p><p><b>3.15% of</b></p><div>loose <strong>3.3 Bare</strong></div><h2>Last one</h2></main>"""
+    pages = spark.createDataFrame([(1, html, "G/Part1/3"), (2, html, "G/Part1/slug"), (3, html, None)], "page_id long, html string, page_ref string")
+    got = {n: [(r["chunk_ref"], r["heading_path"][-1], r["heading_source"], r["text"]) for r in markup.page_chunks(pages).where(f"page_id = {n}").orderBy("ordinal").collect()] for n in (1, 2, 3)}
+    at = "G/Part1/3"
+    assert got[1] == [
+        (f"{at}/empty", "Empty", "markup", "Empty"), (f"{at}/below", "Below", "markup", "a"), (f"{at}/3/1", "3.1 First", "emphasis", "b"),
+        (f"{at}/3-1-2-a-deep", "3.1.2(a): Deep", "emphasis", "c 3.2 in prose 4.1 Another page's 3.15% of loose"), (f"{at}/3/3", "3.3 Bare", "emphasis", "3.3 Bare"), (f"{at}/last-one", "Last one", "markup", "Last one"),
+    ]
+    assert [x[1:3] for x in got[2]] == [("Empty", "markup"), ("Below", "markup"), ("A", "markup"), ("Last one", "markup")] and [x[0].replace("P/3", "G/Part1/slug") for x in got[3]] == [x[0] for x in got[2]]
+
+
 def test_citations(spark):
     texts = [
         "See section 41(3)(a) of the Example Act 2001. Then s 7.", "Sections 5 under the Sample Act 2003; also Example Act. Section 9. Not here", "regulation 4.2A of the Example Regulations 2002", "no references", None,
