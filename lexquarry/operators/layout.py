@@ -14,14 +14,22 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Style of a paragraph to kind of unit and depth below the provision.
+#: Style of a paragraph to kind of unit and depth below the provision.
 STYLES = {
-    "subsection": ("subsection", 1), "paragraph": ("paragraph", 2), "paragraphsub": ("paragraph", 3), "paragraphsub-sub": ("paragraph", 4), "Definition": ("definition", 1),
-    "notetext": ("note", 2), "notepara": ("note", 3), "Penalty": ("penalty", 2), "SubsectionHead": ("heading", 1),
+    "subsection": ("subsection", 1), "subsection2": ("text", 1), "Definition": ("definition", 1), "SubsectionHead": ("heading", 1), "Penalty": ("penalty", 2), "Item": ("text", 1), "Specials": ("special", 1),
+    "Tabletext": ("text", 1), "Tablea": ("text", 1), "Tablei": ("text", 1), "TableHeading": ("text", 1), "MadeunderText": ("text", 1), "ItemHead": ("heading", 1), "<table>": ("table", 1),
+    "paragraph": ("paragraph", 2), "paragraphsub": ("paragraph", 3), "paragraphsub-sub": ("paragraph", 4), "notetext": ("note", 2), "noteToPara": ("note", 2), "notemargin": ("note", 2), "notepara": ("note", 3),
+    None: ("text", 1),
 }
 CONTAINERS = {"ActHead1": 1, "ActHead2": 2, "ActHead3": 3, "ActHead4": 4}
 PROVISION, ITEM = ("ActHead5",), ("ItemHead",)
 ENDNOTES = ("ENotesHeading1", "ENotesHeading2")
+
+
+class UnitError(ValueError):
+    """A paragraph whose place below its provision isn't known: its style is none of ``STYLES``."""
+
+
 LABEL = re.compile(r"^\s*\(([0-9A-Za-z]+)\)\s*")
 
 
@@ -64,13 +72,15 @@ AGAIN = re.compile(r"\)~[0-9]+(?![0-9])")
 def address(rows: Iterable[tuple], base: str) -> Iterator[dict]:
     """Units of one provision's (style, text) in order: parent is the nearest shallower open unit; label, else ``~n``; a taken seat gets a suffix.
 
-    Notes and penalties attach to the unit before them; headings are never parents. Only open units and the counters
+    A paragraph without style is text, one of an unknown style raises. Notes and penalties attach to the unit before them; headings are never parents. Only open units and the counters
     of their labels are held. ``wanted`` is a labelled unit's address before the suffix, ``seat`` how many had it before.
     """
     opened: dict[int, dict] = {}
     counts: dict[str | None, dict] = {}
     for ordinal, (style, text) in enumerate(rows, 1):
-        kind, depth = STYLES.get(style, ("text", 1))
+        if style not in STYLES:
+            raise UnitError(f"{base}: no unit has the style {style!r}")
+        kind, depth = STYLES[style]
         for d in [d for d in opened if d >= depth]:
             if kind not in ("note", "penalty") or d > depth:
                 closed = opened.pop(d)["ref"]

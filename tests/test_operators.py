@@ -118,6 +118,9 @@ def test_units_and_contents(spark):
 
 def test_units_are_streamed(spark):
     lines = (("notetext", "x") for _ in range(30_000))  # one of 30,000 rows was quadratic, and needed all rows at once
+    assert [u["kind"] for u in layout.address([(None, "a"), ("subsection2", "b"), ("noteToPara", "c")], "B")] == ["text", "text", "note"]
+    with pytest.raises(layout.UnitError, match="style 'Unheard'"):
+        list(layout.address([("Unheard", "a")], "B"))
     first = next(layout.address(lines, "B"))
     assert first["ref"] == "B~1" and next(lines) and sum(1 for _ in layout.address(lines, "B")) == 29_998
     rows = [("B", i, "subsection", "(1) a" if i % 3 else "plain") for i in range(12_000)]
