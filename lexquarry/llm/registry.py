@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("secrets", "wavelet", "decontaminate", "html", "pieces", "warc", "jpeg", "toxicity", "neardup", "pii")
+MODULES = ("secrets", "wavelet", "decontaminate", "html", "pieces", "warc", "jpeg", "toxicity", "neardup", "pii", "variants", "periodic", "adaptive")
 
 
 def queries() -> dict:
