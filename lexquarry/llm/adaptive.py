@@ -14,10 +14,12 @@ common ones are asked for.
 3. In the order of frequency, rarest first, each class takes the l of least estimated cost: postings to be read, plus ``CHECK`` per shingle of
    each candidate, of whom there are at most (postings / l). So where prefixes hold common shingles they are lengthened, and candidates need
    as many more in common.
-4. Each class meets the smallest class that holds some of its prefix shingles, if enough are in common; both full sets are intersected.
-   This links all but a few members of a large group, with one comparison each.
-5. What is left are prefix shingles held by several components: pairs of classes of different components are counted by shingle, kept if enough are in
-   common and the places of the last one allow the similarity, and compared on full sets. Within a component no pair is made.
+4. Each class meets the smallest class that holds some of its prefix shingles, if enough are in common; both full sets are intersected. Then
+   what stands outside a shingle's largest component meets one of its members, another each turn, as long as such turns link many.
+   This links all but a few members of a large group, with a comparison a turn.
+5. What is left are prefix shingles held by several components: pairs of classes of different components are counted by those shingles that stand
+   early enough for their two sizes, kept if enough are in common and the places of the last one allow the similarity, and compared on full
+   sets. Within a component no pair is made.
 6. A shingle with more than ``PAIRS`` such pairs gives some of its classes a round, twice as many each round, which meet all its others; linked
    components are contracted before the next round. Those pairs are compared without asking for more shingles.
 7. Components: smallest-neighbour hooking and pointer jumping on tables.
@@ -41,8 +43,9 @@ from .shared import arrow_batch, staged
 
 SHARE = 10  # the screen's l is the size divided by this
 LEVELS = tuple(1 << i for i in range(12))
-CHECK = 0.25  # cost of a candidate for each of its shingles, in postings
+CHECK = 0.01  # cost of a candidate for each of its shingles, in postings; low, as most of those bounded by postings share too few
 PAIRS, LEADERS = 1 << 21, 16
+FEW = 16  # turns end when fewer than one comparison in so many links
 SIZES, PREFIXES = "doc_id long, n long, d1 long, d2 long", "d1 long, d2 long, n long, codes array<long>"
 
 
@@ -107,6 +110,27 @@ def prefixes(sets: DataFrame, similar: int) -> DataFrame:
     return chosen.select("id", "d1", "n", F.col("l").alias("level"), "alone", F.posexplode("taken")).select(F.col("col.token").alias("token"), "id", "d1", "n", "level", (F.col("alone") + F.col("pos")).alias("seat"))
 
 
+def _placed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the component of each id."""
+    return rows.join(labels, "id", "left").withColumn("c", F.coalesce("c", "id"))
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of ``labels`` with the links (a, b)."""
+    return components(staged(labels.select(F.col("id").alias("a"), F.col("c").alias("b")).unionByName(links), "links"), "labels")
+
+
+def _turn(tokens: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each class outside the largest component of its prefix shingles with the one member of it, of those that this turn offers, with which most are in common."""
+    now = _placed(tokens, labels)
+    held = now.groupBy("token", "c").agg(F.count(F.lit(1)).alias("k"), F.min_by(F.struct("id", "level"), F.struct(F.xxhash64("id", F.lit(turn)), "id")).alias("member"))
+    mains = held.groupBy("token").agg(F.sum("k").alias("all"), F.max(F.struct("k", "c", "member")).alias("top")).where("top.k < all")
+    met = now.join(mains.select("token", F.col("top.c").alias("main"), F.col("top.member.id").alias("leader"), F.col("top.member.level").alias("leader_level")), "token").where("c <> main")
+    voted = met.groupBy("id", "d1", "leader").agg(F.count(F.lit(1)).alias("votes"), F.min(F.least("level", "leader_level")).alias("asked"))
+    best = voted.where("votes >= asked").groupBy("id").agg(F.expr("min_by(leader, struct(-votes, leader))").alias("b"))
+    return best.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
+
+
 def _linked(sets: DataFrame, similar: int) -> DataFrame:
     """(id, c) of the ids that aren't the smallest of their component, from exact comparisons."""
     tokens = staged(prefixes(sets, similar), "prefixes")
@@ -115,12 +139,22 @@ def _linked(sets: DataFrame, similar: int) -> DataFrame:
     best = voted.where("votes >= asked").groupBy("id").agg(F.expr("min_by(leader, struct(-votes, leader))").alias("b")).select(F.col("id").alias("a"), "b")
     # A forest of links to smaller ids.
     labels = _jumped(staged(_verified(best, sets, similar).select(F.col("a").alias("id"), F.col("b").alias("c")), "first"), "labels")
+    turn = 1
+    while (compared := staged(_turn(tokens, labels, turn), "turn")).count():
+        found = staged(_verified(compared, sets, similar), "found")
+        if not found.isEmpty():
+            labels = _merged(labels, found)
+        if found.count() * FEW < compared.count():
+            break
+        turn += 1
     # Common shingles up to and with this one are at most the lesser of both seats + 1; those after it, what the shorter rest holds.
     sizes = f"100 * least(m.n, o.n) >= {similar} * greatest(m.n, o.n)"
     may = f"(least(m.seat, o.seat) + least(m.n - m.seat, o.n - o.seat)) * {100 + similar} >= {similar} * (m.n + o.n)"
+    # The l first common shingles of a similar pair stand where both rests, with those before, still hold what the pair must share.
+    early = f"(least(m.n - m.seat, o.n - o.seat) + least(m.level, o.level) - 1) * {100 + similar} >= {similar} * (m.n + o.n)"
     leaders, whole = LEADERS, True
     while True:
-        now = tokens.join(labels, "id", "left").withColumn("c", F.coalesce("c", "id"))
+        now = _placed(tokens, labels)
         counts = now.groupBy("token", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(F.sum("k").alias("all"), F.max(F.struct("k", "c")).alias("top")).where("top.k < all")
         mains = staged(counts.select("token", F.col("top.c").alias("main"), ((F.col("all") - F.col("top.k")) * F.col("all") > PAIRS).alias("heavy")), "mains")
         some, heavy = mains.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("heavy").cast("int")), F.lit(0))).first()
@@ -129,7 +163,7 @@ def _linked(sets: DataFrame, similar: int) -> DataFrame:
         minor = now.join(mains, "token").where("c <> main")
         # A pair of two minor ones is made once, by the smaller id.
         once = "m.token = o.token and m.c <> o.c and (o.c = m.main or m.id < o.id)"
-        met = minor.where("not heavy").alias("m").join(now.alias("o"), F.expr(f"{once} and {sizes} and {may}"))
+        met = minor.where("not heavy").alias("m").join(now.alias("o"), F.expr(f"{once} and {sizes} and {early if whole else may}"))
         ends = [F.expr("greatest(m.id, o.id)").alias("a"), F.expr("least(m.id, o.id)").alias("b")]
         if whole:
             rest = F.expr("least(m.n - m.seat, o.n - o.seat)")
@@ -144,7 +178,7 @@ def _linked(sets: DataFrame, similar: int) -> DataFrame:
             pairs = pairs.unionByName(asked.select(*ends))
         found = staged(_verified(pairs.distinct(), sets, similar), "found")
         if not found.isEmpty():
-            labels = components(staged(labels.select(F.col("id").alias("a"), F.col("c").alias("b")).unionByName(found), "links"), "labels")
+            labels = _merged(labels, found)
         if not heavy:
             return labels
         left = tokens.join(mains.where("heavy").select("token"), "token", "left_semi")
@@ -172,7 +206,7 @@ def similar_components(docs: DataFrame, width: int = 5, similar: int = SIMILAR)
         seats = filled.join(classes, digest).select("doc_id", "id").distinct()
         doubled = seats.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
         members = seats.join(doubled, "doc_id").where("id > lo").select(F.col("id").alias("a"), F.col("lo").alias("b"))
-        labels = components(staged(labels.select(F.col("id").alias("a"), F.col("c").alias("b")).unionByName(members), "links"), "labels")
+        labels = _merged(labels, members)
     named = classes.join(labels, "id", "left").where("copies > 1 or c is not null").select(*digest, F.coalesce("c", "id").alias("c"))
     whole = sizes.join(named, digest, "left")
     return whole.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"))
