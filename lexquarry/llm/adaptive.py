@@ -11,8 +11,8 @@ common ones are asked for.
 1. Documents of equal sets (their size and two digests) are one class.
 2. The screen: in the order of hashes, each class sends an l-prefix with l a tenth of its size. Classes too many of whose
    prefix shingles are held by no other class have no partner; the rest, few in running text, go on with full sets.
-3. In the order of frequency, rarest first, each class takes the l of least estimated cost: postings to be read, plus ``CHECK`` per shingle of
-   each candidate, of whom there are at most (postings / l). So where prefixes hold common shingles they are lengthened, and candidates need
+3. In the order of frequency, rarest first, each class takes the l of least estimated cost: postings that it meets with partners of its
+   size, plus ``CHECK`` per shingle of each candidate, of whom there are at most (postings / l). So where prefixes hold common shingles they are lengthened, and candidates need
    as many more in common.
 4. Each class meets the smallest class that holds some of its prefix shingles, if enough are in common; both full sets are intersected. Then
    what stands outside a shingle's largest component meets one of its members, another each turn, as long as such turns link many.
@@ -103,7 +103,9 @@ def prefixes(sets: DataFrame, similar: int) -> DataFrame:
     # Shingles that no other set has come first in the order; those of them in a prefix have no postings.
     first = held.withColumn("least", F.expr(f"({similar} * n + 99) div 100")).withColumn("alone", F.expr("n - size(held)")).where("n - least + 1 > alone")
     take = "cast(least(n - least + l - alone, size(held)) as int)"
-    postings = f"aggregate(slice(held, 1, {take}), 0D, (s, x) -> s + x.often - 1)"
+    # The cost is that of partners of the same size, who must share more than a smaller one.
+    even = f"cast(least(greatest(n - {2 * similar} * n div {100 + similar} + l - alone, 0), size(held)) as int)"
+    postings = f"aggregate(slice(held, 1, {even}), 0D, (s, x) -> s + x.often - 1)"
     levels = "filter(array(" + ", ".join(f"{x}L" for x in LEVELS) + "), l -> l <= least)"
     cost = f"array_min(transform({levels}, l -> struct({postings} * (1 + {CHECK} * n / l) as cost, l as level)))"
     chosen = first.withColumn("l", F.expr(f"{cost}.level")).withColumn("taken", F.expr(f"slice(held, 1, {take})"))
