@@ -13,9 +13,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Fixed values of the HTML vocabulary.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -301,15 +303,18 @@ def _body(html: str | None) -> Node:
 
 
 def _mapped(pages: DataFrame, rows, schema: str, *more: Column) -> DataFrame:
-    names = [x.strip().split(" ")[0] for x in re.sub(r"<[^>]*>", "", schema).split(",")]
+    """Rows of each page in Arrow batches; ids stay whole numbers beside nulls, and few pages are held at a time."""
+    kind = to_arrow_schema(StructType.fromDDL(schema))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, len(batch), 200):
-                some = batch.iloc[start : start + 200]
-                yield pd.DataFrame([r for given in zip(*[some[c] for c in some.columns], strict=True) for r in rows(*given)], columns=names)
+            for start in range(0, batch.num_rows, 200):
+                given = batch.slice(start, 200).to_pydict().values()
+                made = list(zip(*[r for page in zip(*given, strict=True) for r in rows(*page)]))
+                if made:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(made, kind, strict=True)], schema=kind)
 
-    return pages.select("page_id", "html", *[c.alias(f"more{i}") for i, c in enumerate(more)]).mapInPandas(run, schema)
+    return pages.select("page_id", "html", *[c.alias(f"more{i}") for i, c in enumerate(more)]).mapInArrow(run, schema)
 
 
 def page_blocks(pages: DataFrame) -> DataFrame:

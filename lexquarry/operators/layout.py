@@ -1,38 +1,15 @@
-"""Structure of compiled instruments: styled paragraphs to containers, provisions, units and endnotes.
-
-Segmentation is a running count over window functions; the address of a unit depends on seats taken before it,
-so that step streams each provision in order, holding open units and counters only.
-"""
+"""Structure of compiled instruments: styled paragraphs to containers, provisions and endnotes, by running counts over window functions."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Iterator
-from itertools import groupby, islice
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Style of a paragraph to kind of unit and depth below the provision.
-STYLES = {
-    "subsection": ("subsection", 1), "subsection2": ("text", 1), "Definition": ("definition", 1), "SubsectionHead": ("heading", 1), "Penalty": ("penalty", 2), "Item": ("text", 1), "Specials": ("special", 1),
-    "Tabletext": ("text", 1), "Tablea": ("text", 1), "Tablei": ("text", 1), "TableHeading": ("text", 1), "MadeunderText": ("text", 1), "ItemHead": ("heading", 1), "<table>": ("table", 1),
-    "paragraph": ("paragraph", 2), "paragraphsub": ("paragraph", 3), "paragraphsub-sub": ("paragraph", 4), "notetext": ("note", 2), "noteToPara": ("note", 2), "notemargin": ("note", 2), "notepara": ("note", 3),
-    None: ("text", 1),
-}
 CONTAINERS = {"ActHead1": 1, "ActHead2": 2, "ActHead3": 3, "ActHead4": 4}
 PROVISION, ITEM = ("ActHead5",), ("ItemHead",)
 ENDNOTES = ("ENotesHeading1", "ENotesHeading2")
 
 
-class UnitError(ValueError):
-    """A paragraph whose place below its provision isn't known: its style is none of ``STYLES``."""
-
-
-LABEL = re.compile(r"^\s*\(([0-9A-Za-z]+)\)\s*")
-
-
 def segmented(paragraphs: DataFrame, instrument: str = "instrument") -> DataFrame:
     """Styled paragraphs (instrument, pos, style, text) with their provision's heading and containers.
 
@@ -63,69 +40,3 @@ def endnotes(paragraphs: DataFrame, instrument: str = "instrument") -> DataFrame
     head = F.col("style").isin(*ENDNOTES)
     rows = paragraphs.withColumn("_n", F.sum(head.cast("int")).over(w)).where("_n > 0")
     return rows.groupBy(instrument, "_n").agg(F.min_by("text", "pos").alias("title"), F.transform(F.array_sort(F.collect_list(F.when(~head, F.struct("pos", "text")))), lambda x: x["text"]).alias("paragraphs")).select(instrument, F.regexp_extract("title", r"(?i)^endnote\s+([0-9]+)", 1).try_cast("int").alias("number"), "title", "paragraphs")
-
-
-#: A second unit's address may equal that of an unlabelled one below the first, so its counters stay.
-AGAIN = re.compile(r"\)~[0-9]+(?![0-9])")
-
-
-def address(rows: Iterable[tuple], base: str) -> Iterator[dict]:
-    """Units of one provision's (style, text) in order: parent is the nearest shallower open unit; label, else ``~n``; a taken seat gets a suffix.
-
-    A paragraph without style is text, one of an unknown style raises. Notes and penalties attach to the unit before them; headings are never parents. Only open units and the counters
-    of their labels are held. ``wanted`` is a labelled unit's address before the suffix, ``seat`` how many had it before.
-    """
-    opened: dict[int, dict] = {}
-    counts: dict[str | None, dict] = {}
-    for ordinal, (style, text) in enumerate(rows, 1):
-        if style not in STYLES:
-            raise UnitError(f"{base}: no unit has the style {style!r}")
-        kind, depth = STYLES[style]
-        for d in [d for d in opened if d >= depth]:
-            if kind not in ("note", "penalty") or d > depth:
-                closed = opened.pop(d)["ref"]
-                if not AGAIN.search(closed) and all(u["ref"] != closed for u in opened.values()):
-                    counts.pop(closed, None)
-        above = [d for d in opened if d < depth or kind in ("note", "penalty")]
-        parent = opened[max(above)] if above else None
-        label = LABEL.match(text or "")
-        number = label[1] if label and kind in ("subsection", "paragraph") else None
-        owner = parent and parent["ref"]
-        taken = counts.setdefault(owner, {})
-        seat = taken.get(number, 0)
-        taken[number] = seat + 1
-        want = f"{owner if parent else base}({number})" if number else f"{owner if parent else base}~{seat + 1}"
-        ref = f"{want}~{seat + 1}" if number and seat else want
-        unit = {"ref": ref, "parent_ref": owner, "ordinal": ordinal, "depth": depth, "kind": kind, "number": number, "text": text, "wanted": want if number else None, "seat": seat}
-        yield unit
-        if kind not in ("note", "penalty", "heading"):
-            opened[depth] = unit
-
-
-UNITS = "ref string, parent_ref string, ordinal int, depth int, kind string, number string, text string, wanted string, seat int"
-
-
-def units(paragraphs: DataFrame, base: str = "provision_ref") -> DataFrame:
-    """Addressed units of paragraphs (provision_ref, pos, style, text), streamed in order; labels that collide are found by a group of the wanted address."""
-    names = [base, *(x.strip().split(" ")[0] for x in UNITS.split(","))]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = (x for batch in batches for x in zip(batch[base], batch["style"], batch["text"], strict=True))
-        made = ((key, *unit.values()) for key, some in groupby(rows, lambda x: x[0]) for unit in address((x[1:] for x in some), key))
-        while held := list(islice(made, 5_000)):
-            yield pd.DataFrame(held, columns=names)
-
-    ordered = paragraphs.select(base, "pos", "style", "text").repartition(base).sortWithinPartitions(base, "pos", "style", "text")
-    out = ordered.mapInPandas(run, f"{base} string, {UNITS}")
-    twice = out.where("number is not null and seat > 0").select(F.col(base).alias("_base"), F.col("wanted").alias("_wanted")).distinct()
-    # An unlabelled unit's own address spreads the join and meets no wanted one.
-    out = out.join(twice, F.col(base).eqNullSafe(F.col("_base")) & (F.coalesce("wanted", "ref") == F.col("_wanted")), "left")
-    kept = [base, *(x for x in names[1:] if x not in ("wanted", "seat")), "number_collision"]
-    return out.withColumn("number_collision", F.col("_wanted").isNotNull()).select(kept)
-
-
-def addressed_units(turns: DataFrame) -> DataFrame:
-    """Conversation turns addressed as the units of their conversation."""
-    style = F.when(F.col("role") == "user", "subsection").when(F.col("role") == "assistant", "paragraph").otherwise("notetext")
-    rows = turns.select(F.concat(F.lit("C/"), "conv_id").alias("provision_ref"), F.col("turn").alias("pos"), style.alias("style"), "text")
-    return units(rows).select("provision_ref", "ref", "parent_ref", "ordinal", "depth", "kind", "number", "number_collision")

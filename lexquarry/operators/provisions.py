@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.spans import match_spans
+from ..functions.text import SPACES
 from .inventory import link_candidates
 from .relations import strongest
 
@@ -35,14 +36,14 @@ PATH_LINK = r"(?i)/legis/cth/consol_(act|reg)/([a-z0-9]+)/([a-z]+)([0-9][0-9a-z.
 QUERY_LINK = r"(?i)timebase\.com\.au/IPAust/index\.cfm\?id=([a-z]+):((?:sch)?[0-9][0-9a-z.]*)"
 ADDRESS = r"[0-9]{1,4}[A-Z]?(?:\.[0-9]+[A-Z]?)*(?:\([0-9a-zA-Z]{1,3}\))*"
 WORD = r"(?:subsections?|subparagraphs?|subregulations?|sections?|paragraphs?|regulations?|regs?\.?|ss?\.?)"
-REFERENCE = rf"(?i)\b{WORD}\s*{ADDRESS}(?:\s*(?:,|;|and|or|to|&)\s*{ADDRESS})*"
-IN_WORDS = r"\b[0-9]{1,4}[A-Za-z]?(?:\.[0-9]+[A-Za-z]?)*(?:\([0-9a-zA-Z]{1,3}\))+"
-INSTRUMENT = r"\b[A-Z][A-Za-z()’'\-]*(?:\s+[A-Za-z()’'\-]+){0,7}\s+(?:Act|Regulations?)\s+[0-9]{4}\b"
-SHORT_ACT = r"\bthe\s+([0-9]{4})\s+Act\b"
-NEUTRAL = r"\[((?:18|19|20)[0-9]{2})\]\s+([A-Z]{2,10})\s+([0-9]{1,4})\b"
-REPORTED = r"\(((?:18|19|20)[0-9]{2})\)\s+([0-9]{1,3})\s+([A-Z]{2,10})\s+([0-9]{1,4})\b"
-PAGE_NUMBER = r"(?i)\bparts?\s+([0-9]{1,3}[A-Z]?)((?:\.[0-9]+)+)"
-OF_THIS = r"(?i)\b(?:of|in|at)\s+th(?:is|e\s+(?:present|current))\s+(?:\w+\s+){0,2}(?:chapter|part|section)\b"
+REFERENCE = rf"(?iU)\b{WORD}\s*{ADDRESS}(?:\s*(?:,|;|and|or|to|&)\s*{ADDRESS})*"
+IN_WORDS = r"(?U)\b[0-9]{1,4}[A-Za-z]?(?:\.[0-9]+[A-Za-z]?)*(?:\([0-9a-zA-Z]{1,3}\))+"
+INSTRUMENT = r"(?U)\b[A-Z][A-Za-z()’'\-]*(?:\s+[A-Za-z()’'\-]+){0,7}\s+(?:Act|Regulations?)\s+[0-9]{4}\b"
+SHORT_ACT = r"(?U)\bthe\s+([0-9]{4})\s+Act\b"
+NEUTRAL = r"(?U)\[((?:18|19|20)[0-9]{2})\]\s+([A-Z]{2,10})\s+([0-9]{1,4})\b"
+REPORTED = r"(?U)\(((?:18|19|20)[0-9]{2})\)\s+([0-9]{1,3})\s+([A-Z]{2,10})\s+([0-9]{1,4})\b"
+PAGE_NUMBER = r"(?iU)\bparts?\s+([0-9]{1,3}[A-Z]?)((?:\.[0-9]+)+)"
+OF_THIS = r"(?iU)\b(?:of|in|at)\s+th(?:is|e\s+(?:present|current))\s+(?:\w+\s+){0,2}(?:chapter|part|section)\b"
 AHEAD, AHEAD_OF_PAGE = 60, 48
 
 STRETCH = 4096
@@ -133,7 +134,7 @@ def in_prose(docs: DataFrame, key: str, text: str) -> DataFrame:
     """
     docs = docs.select(key, text, F.xxhash64(text).alias("_t")).where(F.col(text).isNotNull())
     titles = docs.select(key, "_t", F.inline(F.expr(match_spans(f"`{text}`", INSTRUMENT))))
-    own = F.lower(F.trim(F.regexp_replace("words", r"\s+", " ")))
+    own = F.lower(F.trim(F.regexp_replace("words", SPACES, " ")))
     named = titles.select(key, "_t", F.coalesce(_looked_up(TITLES, own), own).alias("code"))
     years = docs.select(key, "_t", F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(SHORT_ACT), F.lit(1)))).alias("year"))
     years = years.select(key, "_t", F.coalesce(_looked_up(ACTS_BY_YEAR, F.col("year")), F.concat(F.lit("the "), "year", F.lit(" act"))).alias("code"))
@@ -159,7 +160,7 @@ def in_prose(docs: DataFrame, key: str, text: str) -> DataFrame:
         key, "start", F.coalesce("_named.code", _looked_up(DEFAULTS, F.col("_symbol"))).alias("_code"),
         F.when(explicit & F.col("_neutral"), kind_of(F.col("_named.code"))).otherwise(F.col("_symbol")).alias("_symbol"),
         F.when(explicit, "explicit").when(F.when(F.col("_symbol") == "s", F.col("_s")).otherwise(F.col("_r")) > 1, "ambiguous").otherwise("default").alias("certainty"),
-        F.trim(F.regexp_replace(F.concat("words", F.coalesce(F.substring(F.col("_window"), F.lit(1), F.col("_named.end")), F.lit(""))), r"\s+", " ")).alias("mention"),
+        F.trim(F.regexp_replace(F.concat("words", F.coalesce(F.substring(F.col("_window"), F.lit(1), F.col("_named.end")), F.lit(""))), SPACES, " ")).alias("mention"),
         F.posexplode(F.regexp_extract_all("_list", F.lit(f"(?i){ADDRESS}"), F.lit(0))).alias("_n", "_address"),
     )
     rows = rows.withColumn("_address", canonical(F.col("_address"))).where(held(F.col("_code"), F.col("_symbol"), F.col("_address")))
@@ -191,7 +192,7 @@ def decisions(docs: DataFrame, key: str, text: str) -> DataFrame:
     neutral = F.startswith("_words", F.lit("["))
     ident = F.when(neutral, F.concat_ws("/", F.lit("CASE"), part(NEUTRAL, 1), part(NEUTRAL, 2), part(NEUTRAL, 3)))
     ident = ident.otherwise(F.concat_ws("/", F.lit("CASE"), part(REPORTED, 1), part(REPORTED, 3), part(REPORTED, 2), part(REPORTED, 4)))
-    return words.select(key, ident.alias("id"), F.regexp_replace("_words", r"\s+", " ").alias("citation")).distinct()
+    return words.select(key, ident.alias("id"), F.regexp_replace("_words", SPACES, " ").alias("citation")).distinct()
 
 
 def numbered_pages(docs: DataFrame, pages: DataFrame, key: str, text: str, page_ref: str, prefix: str) -> DataFrame:
@@ -220,7 +221,7 @@ def numbered_pages(docs: DataFrame, pages: DataFrame, key: str, text: str, page_
     chosen = chosen.when(F.col("_a").isNotNull() & F.col("_b").isNotNull(), F.struct(F.col("_a").alias("ref"), F.lit("ambiguous").alias("certainty")))
     chosen = chosen.otherwise(F.struct(F.coalesce("_a", "_b").alias("ref"), F.lit("default").alias("certainty")))
     rows = rows.withColumn("_chosen", chosen)
-    return rows.select(key, F.col("_chosen.ref").alias("ref"), F.lit("regex").alias("extraction"), F.col("_chosen.certainty").alias("certainty"), F.trim(F.regexp_replace("words", r"\s+", " ")).alias("mention"), F.col("start").cast("long").alias("seq"))
+    return rows.select(key, F.col("_chosen.ref").alias("ref"), F.lit("regex").alias("extraction"), F.col("_chosen.certainty").alias("certainty"), F.trim(F.regexp_replace("words", SPACES, " ")).alias("mention"), F.col("start").cast("long").alias("seq"))
 
 
 def internal_references(docs: DataFrame, links: DataFrame, pages: DataFrame, key: str, text: str, page_ref: str, prefix: str, base: str = "") -> DataFrame:

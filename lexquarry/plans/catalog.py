@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from ..functions import markup
 from ..functions import text as T
-from ..operators import changes, citing, graph, layout, relations, views
+from ..operators import changes, citing, graph, relations, views
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -443,6 +443,3 @@ def html_chunks(read):
     return markup.page_chunks(read("pages", "page_id", "html"))
 
 
-@query()
-def unit_addressing(read):
-    return layout.addressed_units(read("conversations"))

@@ -98,8 +98,8 @@ def corpus_size(read):
     return views.stored_size(read("pages", "html"), F.octet_length("html"))
 
 
-@query("select l_suppkey, arg_min(l_shipdate, (l_orderkey, l_linenumber)) as l_shipdate, count(*) as n from lineitem group by 1")
-def first_seen_citation(read):
+@query("select l_suppkey, arg_min(l_shipdate, (l_orderkey, l_linenumber, l_shipdate)) as l_shipdate, count(*) as n from lineitem group by 1")
+def first_seen_supplier(read):
     return views.first_seen(read("lineitem", "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber"), "l_suppkey", "l_shipdate", ["l_orderkey", "l_linenumber"])
 
 

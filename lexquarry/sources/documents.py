@@ -37,10 +37,13 @@ def page_documents(pages: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def write_documents(documents: DataFrame, path: str, part: str | None = None) -> None:
-    """One JSON file a row, in folders by ``part``, fields in order and nulls written; replaces what the folder held."""
+    """One JSON file a row, in folders by ``part``, fields in order and nulls written.
+
+    By part, only the folders of the parts given are replaced, so a run over one part leaves the others; else the whole folder.
+    """
     body = in_order(documents.drop(part) if part else documents)
     rows = body if part is None else documents.select(F.col(part), *[ordered(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in body.schema.fields])
-    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", 1).option("ignoreNullFields", "false")
+    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", 1).option("ignoreNullFields", "false").option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(part) if part else writer).json(path)
 
 

@@ -111,21 +111,6 @@ def test_units_and_contents(spark):
     paragraphs = spark.createDataFrame([("I", i, s, t) for i, (s, t) in enumerate(lines)], "instrument string, pos int, style string, text string")
     assert [(r["ordinal"], r["number"], r["title"], r["containers"]) for r in layout.contents(paragraphs).orderBy("ordinal").collect()] == [(1, "41", "Heading", ["Part 1"]), (2, "42", "Other", ["Part 1"])]
     assert layout.endnotes(paragraphs).first().asDict() == {"instrument": "I", "number": 1, "title": "Endnote 1", "paragraphs": ["words"]}
-    body = layout.segmented(paragraphs).where("style in ('subsection', 'paragraph', 'notetext')").selectExpr("'I/s41' provision_ref", "pos", "style", "text")
-    got = [(r["ref"], r["parent_ref"], r["number_collision"]) for r in layout.units(body).orderBy("ordinal").collect()]
-    assert got == [("I/s41(1)", None, False), ("I/s41(1)(a)", "I/s41(1)", True), ("I/s41(1)(a)~1", "I/s41(1)(a)", False), ("I/s41(1)(a)~2", "I/s41(1)", True), ("I/s41~1", None, False)]
-
-
-def test_units_are_streamed(spark):
-    lines = (("notetext", "x") for _ in range(30_000))  # one of 30,000 rows was quadratic, and needed all rows at once
-    assert [u["kind"] for u in layout.address([(None, "a"), ("subsection2", "b"), ("noteToPara", "c")], "B")] == ["text", "text", "note"]
-    with pytest.raises(layout.UnitError, match="style 'Unheard'"):
-        list(layout.address([("Unheard", "a")], "B"))
-    first = next(layout.address(lines, "B"))
-    assert first["ref"] == "B~1" and next(lines) and sum(1 for _ in layout.address(lines, "B")) == 29_998
-    rows = [("B", i, "subsection", "(1) a" if i % 3 else "plain") for i in range(12_000)]
-    got = layout.units(spark.createDataFrame(rows, "provision_ref string, pos int, style string, text string")).collect()
-    assert len({r["ref"] for r in got}) == len(got) == 12_000 and sum(r["number_collision"] for r in got) == 8_000
 
 
 def test_docx(spark):
