@@ -303,7 +303,8 @@ def _body(html: str | None) -> Node:
 
 
 def _mapped(pages: DataFrame, rows, schema: str, *more: Column) -> DataFrame:
-    """Rows of each page in Arrow batches; ids stay whole numbers beside nulls, and few pages are held at a time."""
+    """Rows of each page in Arrow batches; ids keep their type, beside nulls too, and few pages are held at a time."""
+    schema = schema.replace("page_id long", f"page_id {pages.schema['page_id'].dataType.simpleString()}", 1)
     kind = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

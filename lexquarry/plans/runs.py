@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import settling, structure
+from ..operators import runs, settling, structure
+from ..sources.publish import Store, shared_folder
 from ..sources.snapshot import canonical_json
 from .catalog import query
 
@@ -124,3 +125,26 @@ def nested_digest(read):
         "p_partkey", F.struct(F.col("p_brand").alias("z"), F.col("p_size").alias("n")).alias("a"), F.struct(F.col("p_partkey").alias("y"), (F.col("p_partkey") % 7).cast("string").alias("k")).alias("m")
     )
     return canonical_json(rows, "p_partkey").select("p_partkey", "digest")
+
+
+_RUN_REF = "'M/Part' || cast(page_id % 7 as {s}) || '/' || cast(page_id as {s})"
+
+
+@query(f"""
+with p as (select page_id, {_RUN_REF.format(s="varchar")} as page_ref, url, coalesce(html, '') as html from pages),
+ f as (select page_id, page_ref, page_id % 4 <> 0 and page_id % 9 <> 0 as one, page_id % 9 <> 0 and page_id % 11 <> 0 as nav, page_id % 3 = 0 or page_id % 4 = 0 as read from p)
+select page_ref, case when one then 't1' else 't2' end as first_seen, case when one and not (nav and page_id % 3 = 0) then 't1' else 't2' end as crawled_at, case when not nav then 't2' end as retired_at
+from f where one or nav and read""")
+def published_run(read):
+    """Two runs over the landed pages, read back from what they published: the first reads most pages; the second gets a new page, moved ones and 304s, and an inventory that lost some."""
+    pages = read("pages", "page_id", F.expr(_RUN_REF.format(s="string")).alias("page_ref"), F.expr("'Part' || page_id % 7").alias("part_id"), F.expr("'http://h/' || page_id").alias("url"), F.expr("coalesce(html, '')").alias("html"))
+    store = Store(pages.sparkSession, shared_folder(pages.sparkSession, "published"))
+    nav = pages.where("page_id % 9 <> 0")
+    runs.carried_out(store, "first", "t1", nav, nav.where("page_id % 4 <> 0").select("url", F.lit(200).alias("status"), "html"))
+    # Every third page moved; pages of the first run answer 304 else, and those that it hadn't are read if the nav still has them.
+    status = F.when((F.col("page_id") % 3 == 0) | (F.col("page_id") % 4 == 0), 200).otherwise(304)
+    html = F.when(F.col("page_id") % 3 == 0, F.concat("html", F.lit("<p>more</p>"))).otherwise(F.col("html"))
+    later = nav.where("page_id % 11 <> 0")
+    runs.carried_out(store, "second", "t2", later, later.select("url", status.alias("status"), F.when(status == 200, html).alias("html")))
+    out = store.table("pages", runs.TABLES["pages"]).join(store.table("retired", runs.TABLES["retired"]), "page_ref", "left")
+    return out.select("page_ref", "first_seen", "crawled_at", "retired_at")
