@@ -6,6 +6,7 @@ collected. Joins leave the side to broadcast to the optimiser, which knows sizes
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -118,22 +119,26 @@ def top_with_rest(df: DataFrame, group: str, order: list[Column], k: int) -> Dat
     return first.join(sizes, group).withColumn("more", F.greatest(F.col("_n") - k, F.lit(0)).cast("long")).drop("_n")
 
 
-def near_before(anchors: DataFrame, marks: DataFrame, group: str, reach: Column, longest: list[Column]) -> DataFrame:
-    """As-of join with tolerance: of a group's marks within ``reach`` of an anchor, the first by ``longest``.
+def descendants(edges: DataFrame, parent: str, child: str, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(ancestor, node, depth) of an adjacency list of any depth; depth is that of the shortest way. In a cycle each node is below itself, too.
 
-    ``reach`` is a condition on columns of both; ``anchors`` has ``anchor``, its key.
+    Each round joins the pairs of the greatest depth so far to all pairs, so reach doubles and rounds are few even for long chains; pairs that
+    are there already end the walk of a cycle. ``stage`` writes a table and reads it back (lineage would double, too).
     """
-    met = anchors.join(marks, group).where(reach)
-    best = met.withColumn("_rank", F.row_number().over(Window.partitionBy(group, "anchor").orderBy(*longest))).where("_rank = 1").drop("_rank")
-    return best
-
-
-def descendants(edges: DataFrame, parent: str, child: str, depth: int) -> DataFrame:
-    """(ancestor, node, depth) of an adjacency list, to a fixed depth."""
-    step = edges.where(F.col(parent).isNotNull()).select(F.col(parent).alias("ancestor"), F.col(child).alias("node")).distinct()
-    level, found = step.withColumn("depth", F.lit(1)), step.withColumn("depth", F.lit(1))
-    for n in range(2, depth + 1):
-        below = step.select(F.col("ancestor").alias("_via"), F.col("node").alias("_node"))
-        level = level.join(below, F.col("node") == F.col("_via")).select("ancestor", F.col("_node").alias("node"), F.lit(n).alias("depth"))
-        found = found.unionByName(level)
-    return found
+    step = edges.where(F.col(parent).isNotNull() & F.col(child).isNotNull()).select(F.col(parent).alias("ancestor"), F.col(child).alias("node")).distinct()
+    found, reach = stage(step.withColumn("depth", F.lit(1))), 1
+    while True:
+        front = found.where(F.col("depth") == reach).select("ancestor", F.col("node").alias("_via"), F.col("depth").alias("_far"))
+        below = found.select(F.col("ancestor").alias("_via"), "node", "depth")
+        longer = front.join(below, "_via").groupBy("ancestor", "node").agg(F.min(F.col("_far") + F.col("depth")).alias("depth"))
+        new = stage(longer.join(found.select("ancestor", "node"), ["ancestor", "node"], "left_anti"))
+        if new.isEmpty():
+            return found
+        found, reach = stage(found.unionByName(new)), 2 * reach
+
+
+def counted_above(pairs: DataFrame, items: DataFrame, node: str, item: str) -> DataFrame:
+    """(ancestor, n): distinct items of each node and of all below it; an item at several places below one ancestor counts once there."""
+    own = items.select(F.col(node).alias("ancestor"), item)
+    up = items.select(F.col(node).alias("node"), item).join(pairs.select("ancestor", "node"), "node").select("ancestor", item)
+    return own.unionByName(up).groupBy("ancestor").agg(F.countDistinct(item).alias("n"))

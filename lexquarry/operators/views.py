@@ -218,3 +218,20 @@ def readdressed(before: DataFrame, after: DataFrame, key: str, url: str) -> Data
     """(key, was, now) of the pages whose url moved."""
     return after.join(before.select(key, F.col(url).alias("was")), key).where(~F.col(url).eqNullSafe(F.col("was"))).select(key, "was", F.col(url).alias("now"))
 
+
+def first_wins(spans: DataFrame, group: list[str], start: str, stop: str, order: list[str]) -> DataFrame:
+    """The spans that stand when those of a group are laid down by start: one that begins before the end of the last laid one goes, and so do empty ones.
+
+    Spans that start together come by ``order``. One fold a group, which is one passage's spans; all columns stay.
+    """
+    rest = [c for c in spans.columns if c not in group]
+    sort = [start, *order, *[c for c in rest if c not in (start, *order)]]
+    laid = spans.where((F.col(start) >= 0) & (F.col(stop) > F.col(start))).groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(*sort))).alias("_spans"))
+    kind = laid.schema["_spans"].dataType
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(kind).alias("kept"))
+
+    def lay(acc: Column, s: Column) -> Column:
+        stands = s[start] >= acc["at"]
+        return F.struct(F.when(stands, s[stop].cast("long")).otherwise(acc["at"]).alias("at"), F.when(stands, F.array_append(acc["kept"], s)).otherwise(acc["kept"]).alias("kept"))
+
+    return laid.select(*group, F.inline(F.aggregate("_spans", begin, lay, lambda acc: acc["kept"]))).select(*spans.columns)

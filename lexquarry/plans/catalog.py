@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from ..functions import markup
 from ..functions import text as T
 from ..operators import changes, citing, graph, relations, views
+from ..sources.publish import stage
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -387,7 +388,7 @@ select ancestor, count(*) as n, max(depth) as depth from (
 def hierarchy_rollup(read):
     a = read("nation").select(F.concat(F.lit("R"), "n_regionkey").alias("parent"), F.concat(F.lit("N"), "n_nationkey").alias("child"))
     b = read("customer").select(F.concat(F.lit("N"), "c_nationkey").alias("parent"), F.concat(F.lit("C"), "c_custkey").alias("child"))
-    return relations.descendants(a.unionByName(b), "parent", "child", 2).groupBy("ancestor").agg(F.count(F.lit(1)).alias("n"), F.max("depth").alias("depth"))
+    return relations.descendants(a.unionByName(b), "parent", "child", stage).groupBy("ancestor").agg(F.count(F.lit(1)).alias("n"), F.max("depth").alias("depth"))
 
 
 @query("""

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import units
+from ..operators import relations, schema, units, views
+from ..sources.publish import stage
 from .catalog import query
 
 _STYLE = "case when role = 'user' then 'subsection' when role = 'assistant' then 'paragraph' else 'notetext' end"
@@ -39,3 +40,62 @@ def unit_addresses(read):
     label = _LABEL.format(s="string")
     rows = read("conversations").select(F.expr("'C/' || conv_id").alias("provision_ref"), F.col("turn").alias("pos"), F.expr(_STYLE).alias("style"), F.expr(f"coalesce({label} || '\t', '') || coalesce(text, '')").alias("text"))
     return units.units(rows).select("provision_ref", "ref", "parent_ref", "ordinal", "depth", "number", "number_collision")
+
+
+@query("""
+with recursive e as (select c_custkey // 2 as p, c_custkey as c from customer where c_custkey > 1),
+ r as (select p as a, c as n, 1 as depth from e union all select r.a, e.c, depth + 1 from r join e on e.p = r.n),
+ i as (select o_custkey as node, o_orderdate::date as item from orders),
+ u as (select node as a, item from i union all select r.a, i.item from i join r on r.n = i.node),
+ n as (select a, count(distinct item) as n_items from u group by 1)
+select coalesce(d.a, n.a) as ancestor, d.n_below, d.depth, n.n_items from (select a, count(*) as n_below, max(depth) as depth from r group by 1) d full join n on n.a = d.a""")
+def deep_hierarchy(read):
+    """Customers as a tree as deep as its size allows, with the distinct days of orders at and below each."""
+    edges = read("customer", F.expr("c_custkey div 2").alias("p"), F.col("c_custkey").alias("c")).where("c > 1")
+    pairs = relations.descendants(edges, "p", "c", stage)
+    below = pairs.groupBy("ancestor").agg(F.count(F.lit(1)).alias("n_below"), F.max("depth").alias("depth"))
+    items = relations.counted_above(pairs, read("orders", "o_custkey", F.to_date("o_orderdate").alias("day")), "o_custkey", "day")
+    return below.join(items.withColumnRenamed("n", "n_items"), "ancestor", "full_outer")
+
+
+@query("""
+with recursive s as (select l_orderkey as k, l_linenumber as i, cast(l_partkey % 40 as bigint) as start, cast(l_partkey % 40 + l_suppkey % 13 as bigint) as stop from lineitem),
+ o as (select *, row_number() over (partition by k order by start, i, stop) as n from s where stop > start),
+ r as (select k, n, i, start, stop, true as kept, stop as at from o where n = 1
+  union all select o.k, o.n, o.i, o.start, o.stop, o.start >= r.at, case when o.start >= r.at then o.stop else r.at end from r join o on o.k = r.k and o.n = r.n + 1)
+select k, i, start, stop from r where kept""")
+def spans_laid_down(read):
+    start = F.col("l_partkey") % 40
+    spans = read("lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("i"), start.alias("start"), (start + F.col("l_suppkey") % 13).alias("stop"))
+    return views.first_wins(spans, ["k"], "start", "stop", ["i"])
+
+
+ORDER = {
+    "type": "object", "required": ["key", "status", "day", "items"], "additionalProperties": False,
+    "properties": {
+        "key": {"type": "integer", "minimum": 1}, "status": {"type": "string", "enum": ["F", "O"]}, "day": {"type": "string", "format": "date"},
+        "items": {"type": "array", "uniqueItems": True, "items": {"type": "object", "required": ["n"], "properties": {"n": {"type": ["integer", "null"], "minimum": 1}}}},
+    },
+}
+
+
+@query("""
+with t as (select *, o_orderkey as k from orders), g as (select * from t where k % 19 <> 0 and k % 23 <> 0)
+select k, '' as path, 'json' as rule from t where k % 19 = 0 or k % 23 = 0
+union all select k, '/key', 'minimum 1' from g where k < 1
+union all select k, '/status', 'enum' from g where o_orderstatus not in ('F', 'O') or k % 11 = 0
+union all select k, '/status', 'type string' from g where k % 11 = 0
+union all select k, '/day', 'format date' from g where k % 13 = 0
+union all select k, '/items', 'required' from g where k % 7 = 0
+union all select k, '/items', 'uniqueItems' from g where k % 7 <> 0 and o_custkey % 5 = o_custkey % 3
+union all select k, '/items/0/n', 'minimum 1' from g where k % 7 <> 0 and o_custkey % 5 = 0
+union all select k, '/items/1/n', 'minimum 1' from g where k % 7 <> 0 and o_custkey % 3 = 0
+union all select k, '/items/2/n', 'required' from g where k % 7 <> 0 and o_custkey % 4 = 0
+union all select k, '/items/2', 'type object' from g where k % 7 <> 0 and o_custkey % 4 = 1
+union all select k, '/note', 'additionalProperties' from g where k % 17 = 0""")
+def schema_violations(read):
+    """Orders as documents, many of them broken in some place."""
+    text = F.expr("""concat('{"key":', o_orderkey, ',"status":', if(o_orderkey % 11 = 0, 'null', concat('"', o_orderstatus, '"')), ',"day":"', if(o_orderkey % 13 = 0, '2023-02-30', date_format(o_orderdate, 'yyyy-MM-dd')), '"',
+      if(o_orderkey % 17 = 0, ',"note":1', ''), if(o_orderkey % 7 = 0, '', concat(',"items":[{"n":', o_custkey % 5, '},{"n":', o_custkey % 3, '},', case o_custkey % 4 when 0 then '{}' when 1 then '9' else '{"n":null}' end, ']')), '}')""")
+    broken = F.when(F.col("o_orderkey") % 23 == 0, F.substring(text, 1, 9)).when(F.col("o_orderkey") % 19 != 0, text)
+    return schema.violations(read("orders").select(F.col("o_orderkey").alias("k"), broken.alias("text")), "k", "text", ORDER)

@@ -38,6 +38,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/lexquarry/{name}-{uuid.uuid4().hex}"
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: lineage ends, and lost executors cost no more than a stage."""
+    path = shared_folder(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @dataclass
 class Store:
     """Versions of tables below ``root``; a table's rows are those of the newest commit."""

@@ -88,3 +88,27 @@ def test_units_are_streamed():
     rows = ((i, parent, "(a)" if kind == "paragraph" else None, False) for i, (kind, _, parent) in enumerate(units.placed(styles, "B"), 1))
     out = units.addressed(rows, "B")
     assert next(out)[0] == "B~1" and next(out)[0] == "B~1(a)" and sum(1 for _ in out) == 29_998
+
+
+def test_hierarchies_of_any_depth_and_cycles(spark):
+    from lexquarry.operators import relations
+    from lexquarry.sources.publish import stage
+
+    chain = [(i, i + 1) for i in range(37)] + [(5, 20), (None, 3), (3, None)]
+    frame = lambda rows: spark.createDataFrame(rows, "p int, c int")
+    got = {(r["ancestor"], r["node"]): r["depth"] for r in relations.descendants(frame(chain), "p", "c", stage).collect()}
+    assert len(got) == 37 * 38 // 2 and got[0, 37] == 5 + 1 + 17 and got[6, 37] == 31
+    ring = {tuple(r) for r in relations.descendants(frame([(0, 1), (1, 2), (2, 0), (2, 3)]), "p", "c", stage).collect()}
+    assert ring == {(a, b, (b - a) % 3 or 3) for a in range(3) for b in range(3)} | {(0, 3, 3), (1, 3, 2), (2, 3, 1)}
+    pairs = relations.descendants(frame([(0, 1), (0, 2), (1, 3), (2, 3)]), "p", "c", stage)
+    items = spark.createDataFrame([(3, "x"), (1, "x"), (2, "y")], "node int, item string")
+    assert {tuple(r) for r in relations.counted_above(pairs, items, "node", "item").collect()} == {(0, 2), (1, 1), (2, 2), (3, 1)}
+    assert relations.descendants(frame([]), "p", "c", stage).count() == 0
+
+
+def test_spans_laid_down(spark):
+    from lexquarry.operators import views
+
+    rows = [("a", 0, 4, "x"), ("a", 3, 9, "y"), ("a", 4, 6, "z"), ("a", 4, 5, "w"), ("a", 7, 7, "empty"), ("a", -1, 3, "out"), ("b", 2, 3, None), (None, 0, 1, "n")]
+    got = {tuple(r) for r in views.first_wins(spark.createDataFrame(rows, "k string, start int, stop int, kind string"), ["k"], "start", "stop", ["kind"]).collect()}
+    assert got == {("a", 0, 4, "x"), ("a", 4, 5, "w"), ("b", 2, 3, None), (None, 0, 1, "n")}
