@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.snapshot import Corpus
 from . import citing, graph
-from .relations import join_report, ranked, resolved, reverse_index
+from .relations import counted, facet_values, in_ranks, join_report, resolved, reverse_index
 
 
 def facets(corpus: Corpus) -> DataFrame:
-    """(facet, value, n, rank): per edge, per chunk and per page counts, the missing under ``none``."""
-    chunks, pages, edges = corpus.chunks, corpus.pages, corpus.edges
-    cases = chunks.select(F.explode("cases").alias("c")).select("c.*")
-    years = pages.where("last_amended is not null").select(F.substring("last_amended", 1, 4).alias("year"))
-    found = [
-        ranked(edges, F.lit("instrument"), F.substring_index("id", "/", 1)), ranked(edges, F.lit("provision"), "id"), ranked(edges, F.lit("extraction"), "extraction"),
-        ranked(edges, F.lit("certainty"), "certainty"), ranked(chunks, F.lit("kind"), "kind"), ranked(chunks, F.lit("heading_source"), "heading_source"),
-        ranked(years, F.lit("year"), "year"), ranked(cases, F.lit("case"), "id"),
-    ]
-    return reduce(DataFrame.unionByName, found)
+    """(facet, value, n, rank): per edge, per chunk and per page counts, the missing under ``none``; chunks are read once for all of theirs."""
+    edge = lambda field: F.transform("provisions", lambda p: p[field])
+    of_chunks = {
+        "instrument": F.transform("provisions", lambda p: F.substring_index(p["id"], "/", 1)), "provision": edge("id"), "extraction": edge("extraction"), "certainty": edge("certainty"),
+        "kind": F.col("kind"), "heading_source": F.col("heading_source"), "case": F.transform("cases", lambda c: c["id"]),
+    }
+    years = corpus.pages.where("last_amended is not null").select(F.substring("last_amended", 1, 4).alias("year"))
+    return in_ranks(counted(facet_values(corpus.chunks, of_chunks).unionByName(facet_values(years, {"year": F.col("year")}))))
 
 
 def parts(corpus: Corpus) -> DataFrame:

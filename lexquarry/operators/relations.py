@@ -13,13 +13,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import path_prefixes
+from ..sources.publish import stage
 
 
-def ranked(df: DataFrame, facet: Column | str, value: Column | str, missing: str = "none") -> DataFrame:
-    """(facet, value, n) in order of count, then value; a null counts under ``missing``."""
+def facet_values(df: DataFrame, facets: dict[str, Column], missing: str = "none") -> DataFrame:
+    """(facet, value) of all facets of each row in one pass; an array gives each of its items, a null counts under ``missing`` but a null array not at all."""
+
+    def pairs(name: str, value: Column) -> Column:
+        one = lambda v: F.struct(F.lit(name).alias("facet"), F.coalesce(v.cast("string"), F.lit(missing)).alias("value"))
+        return F.coalesce(F.transform(value, one), F.array().cast("array<struct<facet:string,value:string>>"))
+
+    kinds = df.select(*[c.alias(n) for n, c in facets.items()]).schema
+    lists = [pairs(n, c if kinds[n].dataType.typeName() == "array" else F.array(c)) for n, c in facets.items()]
+    return df.select(F.inline(F.concat(*lists)))
+
+
+def in_ranks(counts: DataFrame) -> DataFrame:
+    """(facet, value, n, rank) of counts (facet, value, n): by count, then value.
+
+    Counts are dealt by ranges of that order and written; each range numbers its own, after as many as the ranges before hold of the facet.
+    So no task sorts a whole facet, whatever its values.
+    """
+    order = [F.desc("n"), F.col("value")]
+    dealt = stage(counts.repartitionByRange("facet", *order).withColumn("_range", F.spark_partition_id()))
+    held = dealt.groupBy("facet", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("facet").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = F.row_number().over(Window.partitionBy("facet", "_range").orderBy(*order))
+    return dealt.withColumn("_own", own).join(held.select("facet", "_range", before.alias("_before")), ["facet", "_range"]).select("facet", "value", "n", (F.col("_own") + F.col("_before")).cast("long").alias("rank"))
+
+
+def counted(values: DataFrame) -> DataFrame:
+    return values.groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def facet_counts(df: DataFrame, facet: Column | str, value: Column | str, missing: str = "none") -> DataFrame:
+    """(facet, value, n); a null counts under ``missing``."""
     facet, value = (x if isinstance(x, Column) else F.col(x) for x in (facet, value))
-    counts = df.select(facet.alias("facet"), F.coalesce(value.cast("string"), F.lit(missing)).alias("value")).groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("rank", F.row_number().over(Window.partitionBy("facet").orderBy(F.desc("n"), "value")).cast("long"))
+    return counted(df.select(facet.cast("string").alias("facet"), F.coalesce(value.cast("string"), F.lit(missing)).alias("value")))
+
+
+def ranked(df: DataFrame, facet: Column | str, value: Column | str, missing: str = "none") -> DataFrame:
+    """(facet, value, n, rank) in order of count, then value."""
+    return in_ranks(facet_counts(df, facet, value, missing))
 
 
 def merged_facets(*facets: DataFrame) -> DataFrame:

@@ -98,12 +98,9 @@ with f as (
   union all select 'role', coalesce(role, 'none'), count(*) from conversations group by 2)
 select facet, value, n, row_number() over (partition by facet order by n desc, value) as rank from f""")
 def facet_rank(read):
-    docs, labels, turns = read("documents", "lang", "source"), read("labels", "toxic"), read("conversations", "role")
-    kinds = [relations.ranked(docs, F.lit("lang"), "lang"), relations.ranked(docs, F.lit("source"), "source"), relations.ranked(labels, F.lit("toxic"), "toxic"), relations.ranked(turns, F.lit("role"), "role")]
-    out = kinds[0]
-    for k in kinds[1:]:
-        out = out.unionByName(k)
-    return out
+    of = lambda table, *names: relations.facet_values(read(table, *names), {n: F.col(n) for n in names})
+    values = of("documents", "lang", "source").unionByName(of("labels", "toxic")).unionByName(of("conversations", "role"))
+    return relations.in_ranks(relations.counted(values))
 
 
 @query("""
@@ -115,7 +112,7 @@ select facet, value, sum(n) as n from (
 def merged_facet_counts(read):
     nation = read("nation", "n_nationkey", "n_name")
     c, s = read("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")), read("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    facets = [relations.ranked(read("customer"), F.lit("segment"), "c_mktsegment"), relations.ranked(read("supplier"), F.lit("segment"), F.lit("supplier")), relations.ranked(c, F.lit("nation"), "n_name"), relations.ranked(s, F.lit("nation"), "n_name")]
+    facets = [relations.facet_counts(read("customer"), F.lit("segment"), "c_mktsegment"), relations.facet_counts(read("supplier"), F.lit("segment"), F.lit("supplier")), relations.facet_counts(c, F.lit("nation"), "n_name"), relations.facet_counts(s, F.lit("nation"), "n_name")]
     return relations.merged_facets(*facets)
 
 
