@@ -70,15 +70,6 @@ def filled(value: Column) -> Column:
     return F.when(value != "", value)
 
 
-def human_ref(ref: Column, prefix: str) -> Column:
-    """A page address as people write it: the prefix dropped, Part spelled apart, dots for slashes."""
-    bare = F.regexp_replace(ref, f"^{prefix}/", "")
-    part = F.regexp_replace(F.substring_index(bare, "/", 1), "^Part", "Part ")
-    rest = F.when(F.instr(bare, "/") > 0, F.expr("null").cast("string"))
-    tail = F.regexp_replace(F.regexp_replace(bare, "^[^/]*/?", ""), "/", ".")
-    return F.when(tail == "", part).otherwise(F.coalesce(rest, F.concat(part, F.lit("."), tail)))
-
-
 def file_stem(ref: Column) -> Column:
     return F.replace(ref, F.lit("/"), F.lit("-"))
 

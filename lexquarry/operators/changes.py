@@ -34,11 +34,6 @@ def with_retirement(changes: DataFrame, retired_before: DataFrame, retired_after
     return joined.withColumn("status", status).drop("_was", "_now")
 
 
-def silent(body_moved: Column, log_before: Column, log_after: Column) -> Column:
-    """The body moved and the amendment log didn't."""
-    return body_moved & log_before.eqNullSafe(log_after)
-
-
 def part_changes(before: DataFrame, after: DataFrame, group: str, item: str, body: str) -> DataFrame:
     """Per group: how many items were edited, added, removed, and how many there are now."""
     b, a = before.select(group, item, F.col(body).alias("_b"), F.lit(True).alias("_in_b")), after.select(group, item, F.col(body).alias("_a"), F.lit(True).alias("_in_a"))

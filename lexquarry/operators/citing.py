@@ -1,90 +1,15 @@
-"""Citations: references to instruments and cases in text, with offsets, provenance and certainty.
-
-An instrument register says which titles name an instrument, which kinds of reference it can hold and
-the code its addresses begin with. References are matched with offsets in the JVM; each looks ahead
-a bounded window, cut at the next reference and at a full stop, for an instrument that can hold
-it. Named there: explicit. Else the one instrument of that kind that the text names: default. Several: ambiguous.
-"""
+"""Cases as cited: parsed citations, the parties that emphasis names, and items that texts hold."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.spans import literal, match_spans
-from .relations import strongest
-
-WINDOW = 60
-#: Kind, symbol in addresses, and pattern of a reference.
-REFERENCES = (
-    ("section", "s", r"(?iU)\b(?:sections?|ss?)\.?\s+[0-9]+[A-Z]*(?:\([0-9A-Za-z]+\))*(?![0-9A-Za-z])"),
-    ("regulation", "r", r"(?iU)\b(?:regulations?|regs?|rr?)\.?\s+[0-9]+(?:\.[0-9]+)*[A-Z]*(?:\([0-9A-Za-z]+\))*(?![0-9A-Za-z])"),
-)
 #: A neutral citation (year, court, number) and a reported one (year, volume, series, page).
 NEUTRAL = r"\[(1[89][0-9]{2}|20[0-9]{2})\] ([A-Z][A-Za-z]{1,9}) ([0-9]+)"
 REPORTED = r"\((1[89][0-9]{2}|20[0-9]{2})\) ([0-9]+) ([A-Z]{2,6}) ([0-9]+)"
-ADDRESS = r"([0-9]+(?:\.[0-9]+)*[A-Za-z]*)((?:\([0-9A-Za-z]+\))*)$"
-
-
-@dataclass(frozen=True)
-class Instrument:
-    """Code of the addresses, the pattern of the titles, and the kind of reference it holds."""
-
-    code: str
-    title: str
-    kind: str
-
-
-EXAMPLES = (Instrument("EXA2001", r"(?i)Example Act(?: 2001)?", "section"), Instrument("SAM2003", r"(?i)Sample Act(?: 2003)?", "section"), Instrument("EXR2002", r"(?i)Example Regulations(?: 2002)?", "regulation"))
-
-
-def canonical_address(address: Column) -> Column:
-    """The number in upper case, the parentheses as they are."""
-    return F.concat(F.upper(F.regexp_extract(address, ADDRESS, 1)), F.regexp_extract(address, ADDRESS, 2))
-
-
-def references(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, kind, symbol, start, stop, words) of every reference; a list's further numbers aren't references."""
-    found = [F.expr(f"transform({match_spans(f'`{text}`', p)}, m -> named_struct('kind', {literal(k)}, 'symbol', {literal(s)}, 'start', m.start, 'stop', m.stop, 'words', m.words))") for k, s, p in REFERENCES]
-    return docs.select(key, F.inline(F.concat(*found)))
-
-
-def _named(docs: DataFrame, key: str, text: str, instruments: tuple[Instrument, ...]) -> DataFrame:
-    """(key, code, kind, t_start, t_stop) of every title of an instrument."""
-    found = [F.expr(f"transform({match_spans(f'`{text}`', i.title)}, m -> named_struct('code', {literal(i.code)}, 'of_kind', {literal(i.kind)}, 't_start', m.start, 't_stop', m.stop))") for i in instruments]
-    return docs.select(key, F.inline(F.concat(*found)))
-
-
-def cited(docs: DataFrame, key: str, text: str, instruments: tuple[Instrument, ...] = EXAMPLES) -> DataFrame:
-    """(key, id, extraction, certainty, mention): the strongest edge of each id of a document."""
-    own = docs.select(key, text).where(F.col(text).isNotNull())
-    found, titles = references(own, key, text), _named(own, key, text, instruments)
-    inside = (F.col("t_start") <= F.col("start")) & (F.col("stop") <= F.col("t_stop"))
-    found = found.alias("r").join(titles.alias("t"), (F.col(f"r.{key}") == F.col(f"t.{key}")) & inside, "left_anti")
-    ahead = F.lead("start").over(Window.partitionBy(key).orderBy("start", "stop"))
-    found = found.withColumn("until", F.least(F.col("stop") + WINDOW, F.coalesce(ahead, F.col("stop") + WINDOW)))
-    near = found.alias("r").join(titles.alias("t"), (F.col(f"r.{key}") == F.col(f"t.{key}")) & (F.col("kind") == F.col("of_kind")), "left")
-    in_window = (F.col("t_start") >= F.col("stop")) & (F.col("t_start") < F.col("until"))
-    grouped = near.groupBy(F.col(f"r.{key}").alias(key), "kind", "symbol", "start", "stop", "words").agg(
-        F.min(F.when(in_window, F.struct("t_start", "t_stop", "code"))).alias("ahead"), F.array_sort(F.collect_set("code")).alias("scope")
-    )
-    between = grouped.join(own, key).withColumn("_gap", F.expr(f"substring(`{text}`, stop + 1, greatest(coalesce(ahead.t_start, stop) - stop, 0))"))
-    explicit = F.col("ahead").isNotNull() & ~F.contains(F.col("_gap"), F.lit("."))
-    certainty = F.when(explicit, "explicit").when(F.size("scope") == 1, "default").when(F.size("scope") > 1, "ambiguous")
-    codes = F.when(explicit, F.array("ahead.code")).otherwise(F.col("scope"))
-    edges = between.select(key, "start", "symbol", "words", certainty.alias("certainty"), F.explode(codes).alias("code"))
-    edges = edges.select(key, F.concat("code", F.lit("/"), "symbol", canonical_address(F.col("words"))).alias("id"), F.lit("regex").alias("extraction"), "certainty", F.col("words").alias("mention"), "start")
-    rank = F.when(F.col("certainty") == "explicit", 1).when(F.col("certainty") == "default", 2).otherwise(3)
-    return strongest(edges, [key, "id"], rank, ["start"]).drop("start")
-
-
-def cases(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, id, citation, start): the first citation of each case of a document."""
-    both = F.concat(*[F.expr(match_spans(f"`{text}`", p)) for p in (NEUTRAL, REPORTED)])
-    found = docs.select(key, F.inline(both)).withColumn("id", F.trim(F.regexp_replace(F.lower("words"), "[^a-z0-9]+", "-"), F.lit("-")))
-    return found.groupBy(key, "id").agg(F.min_by("words", "start").alias("citation"), F.min("start").alias("start"))
 
 
 def parsed_citations(found: DataFrame) -> DataFrame:
@@ -109,21 +34,28 @@ def emphasis_evidence(found: DataFrame, emphasis: DataFrame, docs: DataFrame, ke
     return found.join(best, [key, "id"], "left")
 
 
+GRAMS = ((8, None), (4, 7), (1, 3))  # of short items, by their length in characters: from, to
+
+
 def contained(docs: DataFrame, items: DataFrame, text: str, item: str, key: str = "doc_id") -> DataFrame:
-    """Pairs where the text holds the item, found by a hash join on three words and then tested.
+    """Pairs where the text holds the item, found by hash joins on keys and then tested.
 
-    A text that holds an item holds its inner words, whole, at the same distance; items too short
-    for that are compared through their longest word part by the optimiser's own choice of join.
+    A text that holds an item of five words or more holds three inner words, whole, at the same distance. Shorter items needn't hold a whole word of
+    the text; they are keyed by their first 8, 4 or 1 characters, which stand somewhere in the text. An empty item is in every text that isn't null.
     """
     words = lambda c: F.split(c, r"[ \n]")
     triples = lambda c, a, n: F.transform(F.sequence(F.lit(a), F.greatest(n, F.lit(a))), lambda i: F.xxhash64(F.get(c, i), F.get(c, i + 1), F.get(c, i + 2)))
     own = items.withColumn("_w", words(F.col(item)))
-    long = own.where(F.size("_w") >= 5).withColumn("_key", triples(F.col("_w"), 1, F.lit(1))[0]).drop("_w")
-    short = own.where(F.size("_w") < 5).drop("_w")
     marked = docs.withColumn("_w", words(F.col(text)))
     probes = marked.where(F.size("_w") >= 3).select(key, F.explode(F.array_distinct(triples(F.col("_w"), 0, F.size("_w") - 3))).alias("_key"))
+    keyed = [(probes, own.where(F.size("_w") >= 5).withColumn("_key", triples(F.col("_w"), 1, F.lit(1))[0]).drop("_w"))]
+    short, size = own.where(F.size("_w") < 5).drop("_w"), F.length(item)
+    for least, most in GRAMS:
+        grams = F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{least}}}))"), F.lit(1)))
+        some = short.where((size >= least) if most is None else size.between(least, most)).withColumn("_key", F.xxhash64(F.substring(item, 1, least)))
+        keyed.append((docs.select(key, F.explode(grams).alias("_gram")).select(key, F.xxhash64("_gram").alias("_key")), some))
     # Only keys of documents are dealt out; the text joins the few that meet an item.
-    met = probes.join(long, "_key").drop("_key").distinct()
+    met = reduce(DataFrame.unionByName, [p.join(i, "_key").drop("_key") for p, i in keyed]).distinct()
     hits = docs.join(met, key).where(F.contains(F.col(text), F.col(item)))
-    few = docs.join(short, F.contains(F.col(text), F.col(item)))
-    return hits.unionByName(few.select(*hits.columns)).distinct()
+    everywhere = docs.where(F.col(text).isNotNull()).join(short.where(size == 0))
+    return hits.unionByName(everywhere.select(*hits.columns)).distinct()

@@ -31,7 +31,3 @@ def neighbours(edges: DataFrame, node: str) -> DataFrame:
     """(id, direction, kind, weight) of the edges at one node."""
     out = edges.where(F.col("source") == node).select(F.col("target").alias("id"), F.lit("out").alias("direction"), "kind", "weight")
     return out.unionByName(edges.where(F.col("target") == node).select(F.col("source").alias("id"), F.lit("in").alias("direction"), "kind", "weight"))
-
-
-def bounds(placed: DataFrame) -> DataFrame:
-    return placed.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))

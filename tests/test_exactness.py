@@ -1,7 +1,7 @@
 """What an earlier run wrote stays, ids stay whole, and white space of any kind stands between words."""
 
 from lexquarry.functions import markup
-from lexquarry.operators import provisions
+from lexquarry.operators import citing, provisions
 from lexquarry.sources import documents
 from lexquarry.sources.snapshot import read_corpus
 from tests.test_corpus import chunk, page
@@ -33,3 +33,11 @@ def test_no_break_spaces(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
     got = {(r["k"], r["id"], r["certainty"]) for r in provisions.cited_provisions(docs, spark.createDataFrame([], "k int, href string, words string, seq int"), "k", "t").collect()}
     assert got == {(0, "TMA1995/s41", "explicit"), (1, "TMA1995/s41", "explicit")}
+
+
+def test_items_of_any_length_are_found(spark):
+    texts = ["one two three four five six", "the cat\nsat on 🙂🙂 mats", "", None, "aaaaaaaaaaaaab", "abc", "ab\x00cd" * 9, "one two three four"]
+    items = ["two three four five six", "wo three f", "at\nsat", "🙂", "🙂🙂 m", "", "aaaab", "abc", "abcd", "b", None, "\x00cda", "four five", "one two three four five six seven", " "]
+    docs, own = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), spark.createDataFrame(list(enumerate(items)), "item_id int, item string")
+    got = citing.contained(docs, own, "text", "item").select("doc_id", "item_id").collect()
+    assert sorted(map(tuple, got)) == sorted((i, j) for i, t in enumerate(texts) for j, x in enumerate(items) if t is not None and x is not None and x in t)
