@@ -16,7 +16,7 @@ from ..functions.text import SPACES
 from .inventory import link_candidates
 from .relations import strongest
 
-# Names of instruments, address vocabularies and patterns of the corpus.
+# Names of instruments, address vocabularies and patterns of the corpus. A look at the first letter comes before the slow test for a word's edge.
 TITLES = {
     "acts interpretation act 1901": "AIA1901",
     "trade mark regulations 1995": "TMR1995",
@@ -36,14 +36,14 @@ PATH_LINK = r"(?i)/legis/cth/consol_(act|reg)/([a-z0-9]+)/([a-z]+)([0-9][0-9a-z.
 QUERY_LINK = r"(?i)timebase\.com\.au/IPAust/index\.cfm\?id=([a-z]+):((?:sch)?[0-9][0-9a-z.]*)"
 ADDRESS = r"[0-9]{1,4}[A-Z]?(?:\.[0-9]+[A-Z]?)*(?:\([0-9a-zA-Z]{1,3}\))*"
 WORD = r"(?:subsections?|subparagraphs?|subregulations?|sections?|paragraphs?|regulations?|regs?\.?|ss?\.?)"
-REFERENCE = rf"(?iU)\b{WORD}\s*{ADDRESS}(?:\s*(?:,|;|and|or|to|&)\s*{ADDRESS})*"
-IN_WORDS = r"(?U)\b[0-9]{1,4}[A-Za-z]?(?:\.[0-9]+[A-Za-z]?)*(?:\([0-9a-zA-Z]{1,3}\))+"
-INSTRUMENT = r"(?U)\b[A-Z][A-Za-z()’'\-]*(?:\s+[A-Za-z()’'\-]+){0,7}\s+(?:Act|Regulations?)\s+[0-9]{4}\b"
-SHORT_ACT = r"(?U)\bthe\s+([0-9]{4})\s+Act\b"
+REFERENCE = rf"(?iU)(?=[SsRrPp])\b{WORD}\s*{ADDRESS}(?:\s*(?:,|;|and|or|to|&)\s*{ADDRESS})*"
+IN_WORDS = r"(?U)(?=[0-9])\b[0-9]{1,4}[A-Za-z]?(?:\.[0-9]+[A-Za-z]?)*(?:\([0-9a-zA-Z]{1,3}\))+"
+INSTRUMENT = r"(?U)(?=[A-Z])\b[A-Z][A-Za-z()’'\-]*(?:\s+[A-Za-z()’'\-]+){0,7}\s+(?:Act|Regulations?)\s+[0-9]{4}\b"
+SHORT_ACT = r"(?U)(?=t)\bthe\s+([0-9]{4})\s+Act\b"
 NEUTRAL = r"(?U)\[((?:18|19|20)[0-9]{2})\]\s+([A-Z]{2,10})\s+([0-9]{1,4})\b"
 REPORTED = r"(?U)\(((?:18|19|20)[0-9]{2})\)\s+([0-9]{1,3})\s+([A-Z]{2,10})\s+([0-9]{1,4})\b"
-PAGE_NUMBER = r"(?iU)\bparts?\s+([0-9]{1,3}[A-Z]?)((?:\.[0-9]+)+)"
-OF_THIS = r"(?iU)\b(?:of|in|at)\s+th(?:is|e\s+(?:present|current))\s+(?:\w+\s+){0,2}(?:chapter|part|section)\b"
+PAGE_NUMBER = r"(?iU)(?=[Pp])\bparts?\s+([0-9]{1,3}[A-Z]?)((?:\.[0-9]+)+)"
+OF_THIS = r"(?iU)(?=[OoIiAa])\b(?:of|in|at)\s+th(?:is|e\s+(?:present|current))\s+(?:\w+\s+){0,2}(?:chapter|part|section)\b"
 AHEAD, AHEAD_OF_PAGE = 60, 48
 
 STRETCH = 4096

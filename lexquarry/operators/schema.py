@@ -40,8 +40,14 @@ def _child(v: str, name: str) -> str:
     return f"variant_get({v}, {_text(f'$[{quote}{name}{quote}]')}, 'variant')"
 
 
-def _rules(schema: dict, v: str, path: str, root: dict, depth: int, above: tuple[str, ...]) -> list[str]:
-    """SQL arrays of the broken rules of the value ``v`` at ``path`` (SQL for text)."""
+def _each(values: str, x: str, i: str, rules: list[str]) -> str:
+    """The broken rules of each of an array of variants: each is bound once with its type, as ``x.v`` and ``x.t``."""
+    bound = f"transform({values}, {x}v -> named_struct('v', {x}v, 't', {_kind(x + 'v')}))"
+    return f"flatten(transform({bound}, ({x}, {i}) -> concat({', '.join(rules)})))"
+
+
+def _rules(schema: dict, x: str, path: str, root: dict, depth: int, above: tuple[str, ...]) -> list[str]:
+    """SQL arrays of the broken rules of the value ``x.v`` of type ``x.t`` at ``path`` (SQL for text)."""
     if unknown := schema.keys() - KNOWN - NOTES:
         raise SchemaError(f"not known: {sorted(unknown)}")
     if "$ref" in schema:
@@ -53,8 +59,8 @@ def _rules(schema: dict, v: str, path: str, root: dict, depth: int, above: tuple
             if not isinstance(target, dict) or step not in target:
                 raise SchemaError(f"{ref} leads nowhere")
             target = target[step]
-        return _rules(target, v, path, root, depth, (*above, ref))
-    kind, word = _kind(v), f"cast({v} as string)"
+        return _rules(target, x, path, root, depth, (*above, ref))
+    v, kind, word = f"{x}.v", f"{x}.t", f"cast({x}.v as string)"
     out: list[str] = []
 
     def broken(when: str, rule: str, at: str = path) -> None:
@@ -88,10 +94,9 @@ def _rules(schema: dict, v: str, path: str, root: dict, depth: int, above: tuple
     elif schema.get("additionalProperties") not in (None, True):
         raise SchemaError("not known: a schema of additionalProperties")
     for name, inner in schema.get("properties", {}).items():
-        # The child is named once, by a lambda over an array of one.
-        x = f"p{depth}"
-        if rules := _rules(inner, x, f"concat({path}, {_text('/' + name)})", root, depth + 1, above):
-            out.append(f"if({kind} = 'object' and {_child(v, name)} is not null, flatten(transform(array({_child(v, name)}), {x} -> concat({', '.join(rules)}))), cast(array() as {ROWS}))")
+        child, at = f"p{depth}", f"concat({path}, {_text('/' + name)})"
+        if rules := _rules(inner, child, at, root, depth + 1, above):
+            out.append(_each(f"filter(array({_child(v, name)}), c{depth} -> c{depth} is not null)", child, f"q{depth}", rules))
     items = f"variant_get({v}, '$', 'array<variant>')"
     if "minItems" in schema:
         broken(f"{kind} = 'array' and size({items}) < {schema['minItems']}", f"minItems {schema['minItems']}")
@@ -99,16 +104,16 @@ def _rules(schema: dict, v: str, path: str, root: dict, depth: int, above: tuple
         texts = f"transform({items}, u{depth} -> to_json(u{depth}))"
         broken(f"{kind} = 'array' and size({texts}) <> size(array_distinct({texts}))", "uniqueItems")
     if "items" in schema:
-        x, i = f"x{depth}", f"i{depth}"
-        if rules := _rules(schema["items"], x, f"concat({path}, '/', {i})", root, depth + 1, above):
-            out.append(f"if({kind} = 'array', flatten(transform({items}, ({x}, {i}) -> concat({', '.join(rules)}))), cast(array() as {ROWS}))")
+        child, i = f"x{depth}", f"i{depth}"
+        if rules := _rules(schema["items"], child, f"concat({path}, '/', {i})", root, depth + 1, above):
+            out.append(f"if({kind} = 'array', {_each(items, child, i, rules)}, cast(array() as {ROWS}))")
     return out
 
 
 def compiled(schema: dict, document: str) -> str:
     """SQL for the broken rules of ``document``, the name of a column of variants, as ``ROWS``."""
-    rules = _rules(schema, document, "''", schema, 0, ())
-    return f"concat({', '.join(rules)})" if rules else f"cast(array() as {ROWS})"
+    rules = _rules(schema, "d", "''", schema, 0, ())
+    return _each(f"array({document})", "d", "e", rules) if rules else f"cast(array() as {ROWS})"
 
 
 def violations(documents: DataFrame, key: str, text: str, schema: dict) -> DataFrame:
