@@ -58,7 +58,7 @@ def test_components_against_brute_force(spark):
     assert Counter(map(tuple, got.collect())) == want and len({x[2] for x in want}) < len(texts) - 40
 
 
-@pytest.mark.parametrize("pairs, levels, check", [(1 << 21, adaptive.LEVELS, 0.01), (300, adaptive.LEVELS, 0.01), (1 << 21, (1,), 0.01), (1 << 21, (8,), 0.01), (2000, (2, 32), 40.0)])
+@pytest.mark.parametrize("pairs, levels, check", [(1 << 21, adaptive.LEVELS, 0.01), (300, adaptive.LEVELS, 0.01), (2000, (2, 32), 40.0)])
 def test_any_level_gives_the_same_links(spark, monkeypatch, pairs, levels, check):
     """Copies of texts at similarities from 0.2 to 1, with light and heavy shingles, short and long prefixes."""
     monkeypatch.setattr(adaptive, "PAIRS", pairs)
