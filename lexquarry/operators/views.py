@@ -235,3 +235,34 @@ def first_wins(spans: DataFrame, group: list[str], start: str, stop: str, order:
         return F.struct(F.when(stands, s[stop].cast("long")).otherwise(acc["at"]).alias("at"), F.when(stands, F.array_append(acc["kept"], s)).otherwise(acc["kept"]).alias("kept"))
 
     return laid.select(*group, F.inline(F.aggregate("_spans", begin, lay, lambda acc: acc["kept"]))).select(*spans.columns)
+
+
+CELL = "struct<row:int,seat:int,column:int,colspan:int,rowspan:int,text:string>"
+
+
+def occupied(cells: str) -> Column:
+    """The cells of a grid (SQL for an array of rows of (text, colspan, rowspan)) with the row and column where each begins, as an array of ``CELL``.
+
+    A cell begins at the first column, after the cell before it, that no cell of a row above reaches into. A missing span, or one under 1, is 1.
+    """
+    span = lambda x: f"greatest(coalesce(c.{x}, 1), 1)"
+    # ``busy`` holds for each column the first row where it is free again.
+    column = "filter(sequence(a.at, greatest(a.at, size(a.busy))), k -> coalesce(get(a.busy, k), 0) <= t.row)[0]"
+    reach = f"transform(sequence(0, greatest(size(a.busy), p.k + {span('colspan')}) - 1), k -> if(k between p.k and p.k + {span('colspan')} - 1, greatest(t.row + {span('rowspan')}, coalesce(get(a.busy, k), 0)), coalesce(get(a.busy, k), 0)))"
+    one = f"array(named_struct('row', t.row, 'seat', a.seat, 'column', p.k, 'colspan', {span('colspan')}, 'rowspan', {span('rowspan')}, 'text', c.text))"
+    cell = f"(a, c) -> transform(array(named_struct('k', {column})), p -> named_struct('at', p.k + {span('colspan')}, 'seat', a.seat + 1, 'busy', {reach}, 'out', concat(a.out, {one})))[0]"
+    row = f"aggregate(coalesce(r, array()), named_struct('at', 0, 'seat', 0, 'busy', t.busy, 'out', t.out), {cell})"
+    step = f"(t, r) -> transform(array({row}), x -> named_struct('row', t.row + 1, 'busy', x.busy, 'out', x.out))[0]"
+    return F.expr(f"aggregate({cells}, named_struct('row', 0, 'busy', cast(array() as array<int>), 'out', cast(array() as array<{CELL}>)), {step}, t -> t.out)")
+
+
+def table_cells(chunks: DataFrame, key: str = "chunk_ref") -> DataFrame:
+    """(key, table, block, row, seat, column, colspan, rowspan, text, heading) of all cells of chunks' tables (key, blocks, tables).
+
+    The k-th block of kind table is the k-th table; ``block`` is its place among all blocks, null if there are fewer such blocks than tables. ``heading`` marks
+    the cells of the declared header row.
+    """
+    places = F.filter(F.transform("blocks", lambda b, i: F.when(b["kind"] == "table", i)), lambda i: i.isNotNull())
+    rows = chunks.select(key, places.alias("_places"), F.posexplode("tables").alias("_k", "_table"))
+    cells = rows.select(key, (F.col("_k") + 1).alias("table"), F.get("_places", F.col("_k")).alias("block"), F.col("_table.header_row").alias("_head"), F.inline(occupied("_table.cells")))
+    return cells.withColumn("heading", F.coalesce(F.col("row") == F.col("_head"), F.lit(False))).drop("_head")

@@ -99,3 +99,24 @@ def schema_violations(read):
       if(o_orderkey % 17 = 0, ',"note":1', ''), if(o_orderkey % 7 = 0, '', concat(',"items":[{"n":', o_custkey % 5, '},{"n":', o_custkey % 3, '},', case o_custkey % 4 when 0 then '{}' when 1 then '9' else '{"n":null}' end, ']')), '}')""")
     broken = F.when(F.col("o_orderkey") % 23 == 0, F.substring(text, 1, 9)).when(F.col("o_orderkey") % 19 != 0, text)
     return schema.violations(read("orders").select(F.col("o_orderkey").alias("k"), broken.alias("text")), "k", "text", ORDER)
+
+
+@query("""
+with recursive c as (select o_custkey as k, cast(dense_rank() over (partition by o_custkey order by o_orderkey) - 1 as int) as row, cast(row_number() over (partition by o_custkey, o_orderkey order by l_linenumber, l_partkey, l_suppkey) - 1 as int) as seat,
+    cast(1 + l_suppkey % 3 as int) as colspan, cast(1 + l_partkey % 3 as int) as rowspan from lineitem join orders on l_orderkey = o_orderkey),
+ n as (select *, row_number() over (partition by k order by row, seat) as n from c),
+ r as (
+  select k, cast(0 as bigint) as n, -1 as row, 0 as seat, 0 as at, cast([] as integer[]) as busy, 0 as col from (select distinct k from n)
+  union all
+  select k, n, row, seat, col + colspan, list_transform(range(0, greatest(len(busy), col + colspan)), lambda x: cast(case when x between col and col + colspan - 1 then greatest(row + rowspan, coalesce(busy[x + 1], 0)) else coalesce(busy[x + 1], 0) end as integer)), col from (
+   select *, cast(list_filter(range(start, greatest(start, len(busy)) + 1), lambda x: coalesce(busy[x + 1], 0) <= row)[1] as int) as col from (
+    select n.k, n.n, n.row, n.seat, n.colspan, n.rowspan, r.busy, case when n.row = r.row then r.at else 0 end as start from r join n on n.k = r.k and n.n = r.n + 1)))
+select k, row, seat, col from r where n > 0""")
+def table_occupancy(read):
+    """A customer's orders as the rows of a table, their lines as cells of one to three columns and rows."""
+    lines = read("lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("x"))
+    cell = lambda x: F.struct(F.lit("").alias("text"), (1 + x["l_suppkey"] % 3).cast("int").alias("colspan"), (1 + x["l_partkey"] % 3).cast("int").alias("rowspan"))
+    rows = lines.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list("x")), cell).alias("cells"))
+    own = read("orders", "o_orderkey", F.col("o_custkey").alias("k")).join(rows, F.col("o_orderkey") == F.col("l_orderkey"))
+    tables = own.groupBy("k").agg(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "cells"))), lambda x: x["cells"]).alias("cells"))
+    return tables.select("k", F.inline(views.occupied("cells"))).select("k", "row", "seat", F.col("column").alias("col"))
