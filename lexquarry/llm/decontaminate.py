@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash of item-sized windows, Hamming distances, exact check.
+"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
 
 A document is contaminated by an item if one of its windows of as many words as the item has a
 weighted similarity of ``SIMILAR`` or more with it (a shorter document is one window): words are runs of other than ASCII white space in lower case,
@@ -10,31 +10,36 @@ the similarity is the sum of least over the sum of greatest counts.
    few hits are done. The hits of the others are joined with the benchmark's shingles for the lengths of
    the items that have them, and windows of those lengths with enough hits are kept.
 2. Fingerprints: SimHash of 64 bits over a window's words, counts kept in 16-bit lanes of longs.
-3. Candidates: each window's fingerprint is compared with those of all items of its length. Windows at
-   ``SIMILAR`` with a cut or rewritten end lie up to 18 bits away, and blocks for so wide a ``RADIUS`` would have
-   two or three bits and choose nothing.
+3. Candidates: fingerprints are cut into ``BLOCKS`` blocks of 16 bits. Two that differ in at most ``RADIUS`` bits have a
+   block that differs in at most ``NEAR``, so the items' blocks are written out with all changes of up to ``NEAR`` bits
+   and joined by value with the blocks of the windows' distinct fingerprints: every pair within ``RADIUS`` is
+   found, at its first such block. Windows at ``SIMILAR`` with a rewritten end can lie further away than blocks
+   can serve; they hold one of the item's rarest shingles (as many as can't all be missing), and
+   pairs that share one and lie beyond ``RADIUS`` are candidates too. So no leak is lost at any distance.
 4. Every candidate's bags are compared exactly.
 
 Everything is DataFrame and SQL functions. The benchmark's bitmap has ``BITS`` bits, whatever the
 benchmark's size; beyond ``BITS / 16`` shingles it would let too much through, and step 1 is
-a shuffled join instead. Items are broadcast up to ``BROADCAST_ROWS`` rows, and
-joined by shuffle beyond.
+a shuffled join instead. Items, their blocks and their rarest shingles are broadcast up to ``BROADCAST_ROWS`` rows each, and
+joined by shuffle beyond. Equal texts of several items are compared once.
 
-Edge cases: null or empty texts are clean, null or empty items contaminate nothing; rows are told
+Edge cases: null or empty texts are clean, null or empty items contaminate nothing, items without an id contaminate under a null id; rows are told
 apart by doc_id and text's digest, so repeated or null doc_ids are judged each by its own text; very long texts are
-looked up whole; an item of more than ``LANE`` words skips the fingerprint and is compared exactly; extra columns are
+looked up whole; an item of more than ``LANE`` words has fingerprint 0, as all windows of its length, and is compared exactly; extra columns are
 kept by ``without_leaks``; empty tables give empty results or clean documents.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import staged, unused
 
-SHINGLE, SIMILAR, RADIUS = 5, 80, 24
+SHINGLE, SIMILAR = 5, 80
+BLOCKS, NEAR = 4, 2
+RADIUS = BLOCKS * (NEAR + 1) - 1
 BITS = 1 << 20
 BROADCAST_ROWS = 500_000
 LANE = (1 << 14) - 1
@@ -111,11 +116,36 @@ def _hits(docs: DataFrame, table: DataFrame, widths: list[int], least: dict[int,
     return found if found is not None else spark.createDataFrame([], "key struct<doc_id: bigint, digest: string>, len int, at array<int>, width int, words array<bigint>")
 
 
+def _blocks(marked: DataFrame, items: DataFrame) -> DataFrame:
+    """(len, fp, item) of all fingerprints of windows and items of one length within ``RADIUS`` bits, each once."""
+    changes = F.lit([x for x in range(1 << 16) if x.bit_count() <= NEAR])
+    block = lambda fp, b: f"cast(shiftrightunsigned({fp}, {16 * b}) & 65535 as int)"
+    cut = F.posexplode(F.array(*[F.expr(block("fp", b)) for b in range(BLOCKS)])).alias("block", "value")
+    sides = items.select("item", "len", F.col("fp").alias("item_fp"), cut)
+    probes = sides.withColumn("change", F.explode(changes)).withColumn("value", F.expr("value ^ change")).drop("change")
+    probes = F.broadcast(probes) if items.count() * BLOCKS * 137 <= BROADCAST_ROWS else probes
+    both = marked.select("len", "fp").distinct().select("len", "fp", cut).join(probes, ["len", "block", "value"])
+    first = " and ".join(f"(block <= {b} or bit_count({block('fp ^ item_fp', b)}) > {NEAR})" for b in range(BLOCKS - 1))
+    return both.where(f"bit_count(fp ^ item_fp) <= {RADIUS} and {first}").select("len", "fp", "item")
+
+
+def _beyond(marked: DataFrame, items: DataFrame) -> DataFrame:
+    """(key, len, start, item) of windows and items that share one of the item's rarest shingles and lie over ``RADIUS`` bits apart."""
+    codes = items.select("item", "len", F.size("codes").alias("n"), F.explode("codes").alias("code"))
+    seldom = codes.join(codes.groupBy("code").agg(F.count(F.lit(1)).alias("held")), "code")
+    seldom = seldom.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy("held", "code"))).where(f"rank <= n - ceil({SIMILAR} * n / 100) + 1")
+    rare = staged(seldom.select("item", "len", "code").distinct().join(items.select("item", F.col("fp").alias("item_fp")), "item"), "rare")
+    rare = F.broadcast(rare) if rare.count() <= BROADCAST_ROWS else rare
+    held = marked.select("key", "len", "start", "fp", F.explode(F.array_distinct(F.expr(shingles_sql("window", "width")))).alias("code"))
+    return held.join(rare, ["len", "code"]).where(f"bit_count(fp ^ item_fp) > {RADIUS}").select("key", "len", "start", "item").distinct()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(key, item_id, similarity) of each document row and item: the best window's weighted similarity."""
-    items = benchmark.select(F.col("item_id").cast("long"), F.expr(words_sql("cast(text as string)")).alias("words"))
+    named = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string").alias("text")).withColumn("item", F.md5(F.col("text").cast("binary")))
+    items = named.dropDuplicates(["item"]).select("item", F.expr(words_sql("text")).alias("words"))
     items = items.where(F.size("words") > 0).withColumn("len", F.size("words")).withColumn("width", F.least(F.lit(SHINGLE), "len"))
-    items = staged(items.withColumn("codes", F.expr(shingles_sql("words", "width"))).withColumn("fp", F.expr(simhash_sql("words"))), "items")
+    items = staged(items.withColumn("codes", F.expr(shingles_sql("words", "width"))).withColumn("fp", F.expr(simhash_sql("words"))).drop("words"), "items")
     table = items.select("len", "width", F.explode("codes").alias("code")).distinct()
     stats = items.groupBy("width").agg(F.min("len").alias("least")).collect()  # SHINGLE rows at most
     least = {r["width"]: -(-SIMILAR * (r["least"] - r["width"] + 1) // 100) for r in stats}
@@ -126,19 +156,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     low = f"greatest(0, at[i + {need} - 1] - (len - width), if(i = 0, 0, at[greatest(i, 1) - 1] + 1))"
     high = "least(at[i], size(words) - len)"
     starts = f"flatten(transform(sequence(0, size(at) - {need}), i -> if({low} <= {high}, sequence({low}, {high}), cast(array() as array<int>))))"
-    windows = f"if(size(words) < len, array(words), transform({starts}, s -> slice(words, s + 1, len)))"
-    windows = hits.select("key", "len", "width", F.expr(windows).alias("windows"))
-    windows = windows.select("key", "len", "width", F.explode("windows").alias("window")).distinct()
+    windows = f"if(size(words) < len, array(struct(0 as start, words as window)), transform({starts}, s -> struct(s as start, slice(words, s + 1, len) as window)))"
+    windows = hits.select("key", "len", "width", F.expr(f"inline({windows})"))
+    windows = windows.groupBy("key", "len", "width", "window").agg(F.min("start").alias("start"))
     marked = staged(windows.withColumn("fp", F.expr(f"if(len > {LANE}, 0L, {simhash_sql('window')})")), "windows")
-    sides = items.select("item_id", "len", F.col("fp").alias("item_fp"))
-    small = items.count() <= BROADCAST_ROWS
-    near = marked.join(F.broadcast(sides) if small else sides, "len").where(F.expr(f"bit_count(fp ^ item_fp) <= {RADIUS}"))
-    near = near.select("key", "window", "width", "item_id")
-    bags = items.select("item_id", F.expr(bag_sql("codes")).alias("item_bag"))
-    both = near.withColumn("bag", F.expr(bag_sql(f"({shingles_sql('window', 'width')})"))).join(F.broadcast(bags) if small else bags, "item_id")
+    sides = ["key", "window", "width", "item"]
+    near = marked.join(_blocks(marked, items), ["len", "fp"]).select(*sides)
+    far = marked.join(_beyond(marked, items), ["key", "len", "start"]).select(*sides)
+    bags = items.select("item", F.expr(bag_sql("codes")).alias("item_bag"))
+    bags = F.broadcast(bags) if items.count() <= BROADCAST_ROWS else bags
+    both = near.unionByName(far).withColumn("bag", F.expr(bag_sql(f"({shingles_sql('window', 'width')})"))).join(bags, "item")
     shared = both.withColumn("shared", F.size(F.array_intersect("bag", "item_bag")))
     judged = shared.withColumn("similarity", F.expr("shared / (size(bag) + size(item_bag) - shared)"))
-    return judged.where(F.expr(f"100 * shared >= {SIMILAR} * (size(bag) + size(item_bag) - shared)")).groupBy("key", "item_id").agg(F.max("similarity").alias("similarity"))
+    judged = judged.where(F.expr(f"100 * shared >= {SIMILAR} * (size(bag) + size(item_bag) - shared)")).groupBy("key", "item").agg(F.max("similarity").alias("similarity"))
+    return judged.join(named.select("item", "item_id").distinct(), "item").select("key", "item_id", "similarity")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -372,6 +372,48 @@ def test_leaks_with_cut_and_rewritten_ends(spark):
     assert {(4 * i + j, i) for i in range(40) for j in range(4)} <= want and found_leaks(spark, texts, items) == want
 
 
+def test_leaks_whose_fingerprints_lie_beyond_the_blocks(spark):
+    # Ends rewritten with one word over and over weigh that word, so that fingerprints move far.
+    r = random.Random(9)
+    items = [[f"v{r.randrange(400)}" for _ in range(n)] for n in (24, 34, 44, 54, 59) for _ in range(6)]
+    texts = []
+    for item in items:
+        new = len(item) - 4 - -(-160 * (len(item) - 4) // 180)
+        texts += [" ".join([*["x"] * new, *item[new:]]), " ".join([*item[: len(item) - new], *["the"] * new, "end"]), " ".join(["a b c", *["a b"] * 9])]
+    want = brute_leaks(texts, items)
+    assert {(3 * i + j, i) for i in range(len(items)) for j in range(2)} <= want and found_leaks(spark, texts, items) == want
+    hashed = spark.createDataFrame([(i, " ".join(x), texts[3 * i].split()) for i, x in enumerate(items)], "item_id long, text string, words array<string>")
+    apart = f"bit_count(({decontaminate.simhash_sql('(' + decontaminate.words_sql('text') + ')')}) ^ ({decontaminate.simhash_sql('(transform(words, w -> xxhash64(w)))')}))"
+    assert hashed.where(f"{apart} > {decontaminate.RADIUS}").count() > 0  # the second way has been taken
+
+
+def test_blocks_find_every_fingerprint_within_the_radius_once(spark):
+    r = random.Random(10)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    items, windows = [r.getrandbits(64) for _ in range(40)], []
+    for fp in items:
+        for n in (0, 1, 5, 10, decontaminate.RADIUS, decontaminate.RADIUS + 1, 20):
+            windows.append(fp ^ sum(1 << b for b in r.sample(range(64), n)))
+    even = sum(1 << b for b in (0, 1, 16, 17, 32, 33, 48, 49, 50, 18, 34))  # spread as evenly as can be
+    windows += [items[0] ^ even, items[0] ^ even, signed(items[1]) % (1 << 64)]
+    left = spark.createDataFrame([(7, signed(x)) for x in windows], "len int, fp long")
+    right = spark.createDataFrame([(str(i), 7, signed(x)) for i, x in enumerate(items)] + [("other", 8, signed(windows[0]))], "item string, len int, fp long")
+    want = sorted((signed(w), str(i)) for w in set(windows) for i, x in enumerate(items) if (w ^ x).bit_count() <= decontaminate.RADIUS)
+    assert sorted((x["fp"], x["item"]) for x in decontaminate._blocks(left, right).collect()) == want
+
+
+def test_leaks_by_shuffled_joins_and_items_that_repeat(spark, monkeypatch):
+    r = random.Random(11)
+    items = [[f"v{r.randrange(60)}" for _ in range(20)] for _ in range(5)]
+    texts = [" ".join(["q", *items[i % 5], "z"]) for i in range(9)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = [*enumerate(" ".join(x) for x in items), (0, " ".join(items[0])), (7, " ".join(items[0])), (None, " ".join(items[1]))]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    want = sorted(((i, j) for i in range(9) for j in ([0, 7], [1, None], [2], [3], [4])[i % 5]), key=str)
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert sorted(((x["key"]["doc_id"], x["item_id"]) for x in decontaminate.leaks(docs, benchmark).collect()), key=str) == want
+
+
 BASE = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda x, d: True), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda x, d: all(int(p) <= 255 for p in x.split("."))),
     ("card", r"[0-9]([\x20-]?[0-9])+", lambda x, d: 13 <= len(d) <= 19 and sum(int(c) if i % 2 == 0 else (2 * int(c) - 9 * (int(c) > 4)) for i, c in enumerate(reversed(d))) % 10 == 0),
