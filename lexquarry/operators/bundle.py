@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.snapshot import Corpus
-from . import citing, graph
+from . import export, graph
 from .relations import counted, facet_values, in_ranks, join_report, resolved, reverse_index
 
 
@@ -66,14 +66,6 @@ def citation_graph(corpus: Corpus) -> tuple[DataFrame, DataFrame]:
     return nodes.join(graph.nodes(edges), "id", "left").select("id", "kind", F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("edge_count", F.lit(0)).alias("edge_count")), edges
 
 
-def case_rows(corpus: Corpus) -> DataFrame:
-    """The flat case export: one row a case of a chunk, with its parties where emphasis or a link names them."""
-    chunks = corpus.chunks
-    rows = chunks.select("chunk_ref", "page_ref", "part_id", "text", F.explode("cases").alias("case")).select("chunk_ref", "page_ref", "part_id", F.col("case.id").alias("id"), F.col("case.citation").alias("citation"), F.expr("instr(text, case.citation) - 1").alias("start"))
-    spans = chunks.select("chunk_ref", F.inline("emphasis")).select("chunk_ref", F.col("text").alias("words"), "start", F.col("end").alias("stop"))
-    told = citing.emphasis_evidence(rows, spans, chunks.select("chunk_ref", "text"), "chunk_ref", "text")
-    anchored = chunks.select("chunk_ref", "links").join(told, "chunk_ref").withColumn("link", F.expr("get(filter(links, l -> contains(l.text, citation)), 0)")).drop("links")
-    parsed = citing.parsed_citations(anchored)
-    named = parsed.withColumn("parties", F.coalesce("parties", F.nullif(F.trim(F.expr("substring_index(link.text, citation, 1)")), F.lit(""))))
-    counted = named.join(named.groupBy("id").agg(F.count(F.lit(1)).alias("corpus_citation_count")), "id")
-    return counted.select("id", "citation", "year", "series", "volume", "number", "parties", F.col("link.href").alias("href"), "chunk_ref", "page_ref", "part_id", "corpus_citation_count", (F.col("start") < 0).alias("citation_missing"))
+def case_rows(corpus: Corpus, strict: bool = True) -> DataFrame:
+    """The flat case export: one row a decision of a passage, in the columns of ``export.COLUMNS``; passages of retired pages count too."""
+    return export.positions(corpus.chunks, corpus.pages, strict)

@@ -113,7 +113,7 @@ def test_facets_parts_and_cases(spark, root):
     assert found["instrument", "EXA2001"] == 3 and found["certainty", "default"] == 1 and found["heading_source", "none"] == 3 and found["year", "2023"] == 1
     assert {r["part_id"]: (r["title"], r["pages"], r["chunks"]) for r in bundle.parts(corpus).collect()} == {"Part1": ("One", 1, 2), "Part2": ("Part2", 1, 1), "Part3": ("Part3", 1, 0)}
     case = bundle.case_rows(corpus).first()
-    assert (case["year"], case["series"], case["number"], case["parties"], case["corpus_citation_count"]) == ("1999", "ABC", "5", "of", 1)
+    assert (case["year"], case["court_or_series"], case["number"], case["parties"], case["corpus_citation_count"]) == (1999, "ABC", "5", "of", 1)
 
 
 @pytest.mark.parametrize(("question", "n", "law"), [

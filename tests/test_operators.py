@@ -15,6 +15,7 @@ from lexquarry.operators import citing, layout, relations, search, views
 from lexquarry.plans import catalog
 from lexquarry.plans import runs as run_queries
 from lexquarry.plans import citations as citation_queries
+from lexquarry.plans import exports as export_queries
 from lexquarry.plans import views as view_queries
 from lexquarry.plans import structures as structure_queries
 from lexquarry.sources.docx import document_blocks
@@ -135,7 +136,7 @@ def test_stream_merges_and_is_idempotent(spark, tmp_path):
 
 def test_view_queries_are_registered():
     assert {"spans_in_blocks", "passage_search", "bundle_facets", "provisions_in_prose", "resettled_refs"} <= set(catalog.QUERIES)
-    assert view_queries.passage_search and citation_queries.pages_by_number and run_queries.resettled_refs and structure_queries.unit_addresses
+    assert view_queries.passage_search and citation_queries.pages_by_number and run_queries.resettled_refs and structure_queries.unit_addresses and export_queries.citation_export
 
 
 def test_scope_and_required_raise(spark):
