@@ -1,10 +1,10 @@
-"""Registered query of the case export: documents as passages that cite decisions, each in two shapes side by side."""
+"""Registered queries of what people read: the case export (documents that cite decisions, in two shapes side by side) and the sections of a change report."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import export
+from ..operators import changes, export, report, views
 from .catalog import query
 
 _NAME = "concat('A', doc_id, ' v ', coalesce(source, 'B'))"
@@ -41,3 +41,30 @@ def citation_export(read):
     ).withColumn("links", F.when(F.size("cases") == 1, F.col("links")).otherwise(F.transform("links", lambda x: F.struct(x["href"].alias("href"), F.regexp_replace(x["text"], "; .*", "").alias("text")))))
     pages = read("pages", "page_id", "url").selectExpr("concat('P/', page_id) as page_ref", "if(page_id % 2 = 0, concat('H ', page_id), '') as h1", "concat('N ', page_id) as nav_title", "url")
     return export.positions(chunks, pages)
+
+
+@query("""
+with p as (select o_orderkey as k, case when o_orderkey % 13 = 3 then 'added' when o_orderkey % 17 = 3 then 'vanished' when o_orderkey % 7 = 0 then 'amended' when o_orderkey % 11 = 0 then 'reworded' when o_orderkey % 5 = 0 then 'rebuilt' end as section,
+   concat_ws(',', case when o_orderkey % 11 = 0 then 'title' end, case when o_orderkey % 5 = 0 then 'version' end) as moved from orders where o_orderkey % 13 <> 3 or o_orderkey % 17 <> 3),
+ r as (
+  select section, k, 'O/' || k as key, case when section in ('added', 'vanished') then '' else moved end as detail from p where section is not null
+  union all select 'silent', k, 'O/' || k, '' from p where section = 'amended' and k % 14 <> 0
+  union all select 'addresses', s_suppkey, 'u/' || s_suppkey, s_name || ' → ' || s_name || '*' from supplier where s_suppkey % 9 = 0
+  union all select 'parts', n_nationkey, 'Part' || n_nationkey, case when n_nationkey % 6 = 5 then 'removed' when n_nationkey % 8 = 7 then 'added' else concat_ws(',', case when n_nationkey % 3 = 0 then 'renamed' end, case when n_nationkey % 4 = 0 then 'resized' end) end
+   from nation where (n_nationkey % 6 = 5 or n_nationkey % 8 = 7 or n_nationkey % 3 = 0 or n_nationkey % 4 = 0) and (n_nationkey % 6 <> 5 or n_nationkey % 8 <> 7))
+select section, cast(row_number() over (partition by section order by k) as int) as place, count(*) over (partition by section) as total, key, detail from r qualify place <= 40""")
+def change_sections(read):
+    """Two states of the orders as pages, of suppliers as addresses and of nations as parts: what a report of their changes shows. The cap of a section is the report's."""
+    orders = read("orders", "o_orderkey", "o_orderstatus", "o_orderpriority").withColumn("ref", F.concat(F.lit("O/"), "o_orderkey"))
+    state = "ref", "o_orderstatus as body", "o_orderpriority as title", "1 as version", "o_orderkey % 2 as log"
+    was = orders.where("o_orderkey % 13 <> 3").selectExpr(*state)
+    moved = "ref", "if(o_orderkey % 7 = 0, o_orderstatus || '*', o_orderstatus) as body", "if(o_orderkey % 11 = 0, o_orderpriority || '*', o_orderpriority) as title", "if(o_orderkey % 5 = 0, 2, 1) as version", "if(o_orderkey % 14 = 0, -1, o_orderkey % 2) as log"
+    now = orders.where("o_orderkey % 17 <> 3").selectExpr(*moved)
+    nations = read("nation", "n_nationkey", "n_name").selectExpr("n_nationkey as k", "'Part' || n_nationkey as part_id", "n_name as title", "n_nationkey as n")
+    parts = nations.where("k % 8 <> 7"), nations.where("k % 6 <> 5").selectExpr("part_id", "if(k % 3 = 0, title || '*', title) as title", "if(k % 4 = 0, n + 1, n) as n")
+    urls = read("supplier", "s_suppkey", "s_name").selectExpr("'u/' || s_suppkey as url", "s_name as ref", "if(s_suppkey % 9 = 0, s_name || '*', s_name) as now")
+    found = {
+        "pages": changes.compared(was, now, "ref", "body", ["title", "version"]), "parts": views.part_diff(*parts, "part_id"), "silent": views.silent_amendments(was, now, "ref", "body", "log"),
+        "readdressed": views.readdressed(urls.select("url", "ref"), urls.select("url", F.col("now").alias("ref")), "url", "ref"),
+    }
+    return report.first_rows(report.change_rows(found, "ref", version="version"))

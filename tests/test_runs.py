@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lexquarry.operators import settling, structure
+from lexquarry.operators import report, settling, structure
 from lexquarry.sources import documents
 from lexquarry.sources.snapshot import canonical_json, read_corpus
 from tests.test_corpus import chunk, edge, page
@@ -41,6 +41,17 @@ def test_compared_corpora(spark, tmp_path):
     assert dict(map(tuple, got["parts"].collect())) == {"Part1": "unchanged", "Part2": "renamed,resized", "Part3": "removed"}
     assert [tuple(r) for r in got["readdressed"].collect()] == [("u1", "G/Part1/1", "G/Part1/9")]
     assert [r[0] for r in got["silent"].collect()] == ["G/Part1/2"]  # its body moved, its log didn't; a chunk alone isn't the body
+    text = report.corpus_report(read_corpus(spark, before), read_corpus(spark, after), ("one", "two"), spark.createDataFrame([("http://s/x", 500)], "url string, status int"))
+    assert "2 pages amended, 1 page added, 1 page restored, 1 page retired, 1 page vanished, 1 page reworded; 0 pages unchanged." in text
+    assert "| G/Part1/1 | 1 | 0 | 0 | 1 | - |" in text and "| G/Part1/2 | 0 | 0 | 0 | 0 | - |" in text
+    sections = {part.split("\n")[0]: part for part in text.split("## ")[1:]}
+    assert "- Part2: renamed,resized\n- Part3: removed" in sections["Parts (2)"] and "- u1: G/Part1/1 → G/Part1/9" in sections["Addresses that tell another page (1)"]
+    assert "- G/Part1/2\n" in sections["Amended without a word in the log (1)"] and "- G/Part2/3: nav_title" in sections["Changed around the text (1)"] and "- http://s/x: 500" in sections["Unreachable (1)"]
+    short = report.corpus_report(read_corpus(spark, before), read_corpus(spark, after), cap=1)
+    assert "## Amended (2)" in short and "… and 1 more" in short and "G/Part1/2 | 0" not in short
+    assert "Nothing changed; " in report.corpus_report(read_corpus(spark, before), read_corpus(spark, before))
+    first = report.corpus_report(read_corpus(spark, str(tmp_path / "none")), read_corpus(spark, after))
+    assert "5 pages in 2 parts; nothing to compare with." in first
     none = settling.compared_corpora(read_corpus(spark, str(tmp_path / "none")), read_corpus(spark, after))
     assert {r["status"] for r in none["pages"].collect()} == {"added"}
 
