@@ -8,15 +8,15 @@ match cost the same anywhere in a long text, and only matches are shuffled, neve
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.spans import match_spans
+from ..functions.spans import BLOCK, match_spans
 from ..functions.text import SPACES
 from .inventory import link_candidates
 from .relations import strongest
 
-# Names of instruments, address vocabularies and patterns of the corpus. A look at the first letter comes before the slow test for a word's edge.
+# Names of instruments, address vocabularies and patterns of the corpus. A look at the first letter comes before the slow tests: those for a word's edge and, beyond ``(?iU)``, for any case.
 TITLES = {
     "acts interpretation act 1901": "AIA1901",
     "trade mark regulations 1995": "TMR1995",
@@ -36,14 +36,14 @@ PATH_LINK = r"(?i)/legis/cth/consol_(act|reg)/([a-z0-9]+)/([a-z]+)([0-9][0-9a-z.
 QUERY_LINK = r"(?i)timebase\.com\.au/IPAust/index\.cfm\?id=([a-z]+):((?:sch)?[0-9][0-9a-z.]*)"
 ADDRESS = r"[0-9]{1,4}[A-Z]?(?:\.[0-9]+[A-Z]?)*(?:\([0-9a-zA-Z]{1,3}\))*"
 WORD = r"(?:subsections?|subparagraphs?|subregulations?|sections?|paragraphs?|regulations?|regs?\.?|ss?\.?)"
-REFERENCE = rf"(?iU)(?=[SsRrPp])\b{WORD}\s*{ADDRESS}(?:\s*(?:,|;|and|or|to|&)\s*{ADDRESS})*"
+REFERENCE = rf"(?=[SsRrPp\x{{17f}}])(?iU)\b{WORD}\s*{ADDRESS}(?:\s*(?:,|;|and|or|to|&)\s*{ADDRESS})*"
 IN_WORDS = r"(?U)(?=[0-9])\b[0-9]{1,4}[A-Za-z]?(?:\.[0-9]+[A-Za-z]?)*(?:\([0-9a-zA-Z]{1,3}\))+"
 INSTRUMENT = r"(?U)(?=[A-Z])\b[A-Z][A-Za-z()’'\-]*(?:\s+[A-Za-z()’'\-]+){0,7}\s+(?:Act|Regulations?)\s+[0-9]{4}\b"
 SHORT_ACT = r"(?U)(?=t)\bthe\s+([0-9]{4})\s+Act\b"
 NEUTRAL = r"(?U)\[((?:18|19|20)[0-9]{2})\]\s+([A-Z]{2,10})\s+([0-9]{1,4})\b"
 REPORTED = r"(?U)\(((?:18|19|20)[0-9]{2})\)\s+([0-9]{1,3})\s+([A-Z]{2,10})\s+([0-9]{1,4})\b"
-PAGE_NUMBER = r"(?iU)(?=[Pp])\bparts?\s+([0-9]{1,3}[A-Z]?)((?:\.[0-9]+)+)"
-OF_THIS = r"(?iU)(?=[OoIiAa])\b(?:of|in|at)\s+th(?:is|e\s+(?:present|current))\s+(?:\w+\s+){0,2}(?:chapter|part|section)\b"
+PAGE_NUMBER = r"(?=[Pp])(?iU)\bparts?\s+([0-9]{1,3}[A-Z]?)((?:\.[0-9]+)+)"
+OF_THIS = r"(?=[OoIiAa\x{130}\x{131}])(?iU)\b(?:of|in|at)\s+th(?:is|e\s+(?:present|current))\s+(?:\w+\s+){0,2}(?:chapter|part|section)\b"
 AHEAD, AHEAD_OF_PAGE = 60, 48
 
 STRETCH = 4096
@@ -69,7 +69,8 @@ def held(instrument: Column, symbol: Column, address: Column) -> Column:
     """Whether the instrument can hold the address: kinds agree, and so do dots where its numbering is known."""
     kinds = F.when(instrument.isin(sorted({*TITLES.values(), *ACTS_BY_YEAR.values()})), kind_of(instrument) == symbol).otherwise(True)
     dots = _looked_up(DOTTED, instrument)
-    return kinds & (dots.isNull() | (F.contains(F.substring_index(address, "(", 1), F.lit(".")) == dots))
+    # One condition, not two: a part without the address would be worked out again below, before addresses are listed.
+    return F.when(dots.isNull() | (F.contains(F.substring_index(address, "(", 1), F.lit(".")) == dots), kinds).otherwise(False)
 
 
 def linked(links: DataFrame, key: str, strict: bool = True) -> DataFrame:
@@ -110,21 +111,31 @@ def _read_links(links: DataFrame) -> DataFrame:
     return links.where(by_path | by_query).withColumns({"_code": code, "_node": node, "_symbol": symbol, "_problem": problem})
 
 
+def _cut(text: str) -> Column:
+    """A text in stretches, for ``_ahead``."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{STRETCH}}}"), F.lit(0))
+
+
+def _ahead(size: int | str) -> str:
+    """SQL for the ``size`` characters after the match ``m`` of a text in stretches ``_cut``."""
+    at = f"int(m.stop div {STRETCH})"
+    return f"substring(concat(coalesce(get(_cut, {at}), ''), coalesce(get(_cut, {at} + 1), '')), m.stop % {STRETCH} + 1, {size})"
+
+
 def _with_ahead(docs: DataFrame, key: str, text: str, pattern: str, size: int, kept: list[str] = []) -> DataFrame:  # noqa: B006
     """(key, kept, start, stop, words, ahead) of every match, ``ahead`` being the ``size`` characters after it."""
-    cut = docs.select(key, *kept, F.expr(match_spans(f"`{text}`", pattern)).alias("_m"), F.regexp_extract_all(text, F.lit(f"(?s).{{1,{STRETCH}}}"), F.lit(0)).alias("_cut"))
-    at = f"int(m.stop div {STRETCH})"
-    ahead = f"substring(concat(coalesce(get(_cut, {at}), ''), coalesce(get(_cut, {at} + 1), '')), m.stop % {STRETCH} + 1, {size})"
-    return cut.select(key, *kept, F.inline(F.expr(f"transform(_m, m -> named_struct('start', m.start, 'stop', m.stop, 'words', m.words, 'ahead', {ahead}))")))
+    cut = docs.select(key, *kept, F.expr(match_spans(f"`{text}`", pattern)).alias("_m"), _cut(text).alias("_cut"))
+    return cut.select(key, *kept, F.inline(F.expr(f"transform(_m, m -> named_struct('start', m.start, 'stop', m.stop, 'words', m.words, 'ahead', {_ahead(size)}))")))
 
 
-def _named_ahead(window: Column, symbol: Column) -> Column:
-    """The first instrument that a window names and that can hold the symbol: struct of its place, end and code, or null."""
-    low = F.lower(window)
-    titles = [F.when((F.instr(low, t) > 0) & (symbol.isNull() | (symbol == F.lit("r" if "regulation" in t else "s"))), F.struct(F.instr(low, t).alias("at"), (F.instr(low, t) + len(t) - 1).alias("end"), F.lit(c).alias("code"))) for t, c in TITLES.items()]
-    at, code = F.regexp_instr(window, F.lit(SHORT_ACT)), _looked_up(ACTS_BY_YEAR, F.regexp_extract(window, SHORT_ACT, 1))
-    short = F.when((at > 0) & code.isNotNull() & (symbol.isNull() | (symbol == "s")), F.struct(at.alias("at"), (at + F.length(F.regexp_extract(window, SHORT_ACT, 0)) - 1).alias("end"), code.alias("code")))
-    return F.array_min(F.array_compact(F.array(*titles, short)))
+def _named_ahead(window: Column, low: Column, symbol: Column) -> Column:
+    """The first instrument that a window (as it is, and in lower case) names and that can hold the symbol: struct of its place, end and code, or null."""
+    place = lambda at, size, code: F.struct(at.alias("at"), (at + size - F.lit(1)).alias("end"), code.alias("code"))
+    titles = {kind: F.least(*[F.when(F.contains(low, F.lit(t)), place(F.instr(low, t), F.lit(len(t)), F.lit(c))) for t, c in TITLES.items() if ("regulation" in t) == (kind == "r")]) for kind in "sr"}
+    code = _looked_up(ACTS_BY_YEAR, F.regexp_extract(window, SHORT_ACT, 1))
+    short = F.when(code.isNotNull(), place(F.regexp_instr(window, F.lit(SHORT_ACT)), F.length(F.regexp_extract(window, SHORT_ACT, 0)), code))
+    acts = F.when(F.contains(low, F.lit("act")) & (symbol.isNull() | (symbol == "s")), F.least(titles["s"], short))
+    return F.least(acts, F.when(F.contains(low, F.lit("regulations")) & (symbol.isNull() | (symbol == "r")), titles["r"]))
 
 
 def in_prose(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -132,32 +143,40 @@ def in_prose(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     Texts without a key count, null texts don't; repeated rows count once, and different texts of one key are read apart.
     """
-    docs = docs.select(key, text, F.xxhash64(text).alias("_t")).where(F.col(text).isNotNull())
-    titles = docs.select(key, "_t", F.inline(F.expr(match_spans(f"`{text}`", INSTRUMENT))))
-    own = F.lower(F.trim(F.regexp_replace("words", SPACES, " ")))
-    named = titles.select(key, "_t", F.coalesce(_looked_up(TITLES, own), own).alias("code"))
-    years = docs.select(key, "_t", F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(SHORT_ACT), F.lit(1)))).alias("year"))
-    years = years.select(key, "_t", F.coalesce(_looked_up(ACTS_BY_YEAR, F.col("year")), F.concat(F.lit("the "), "year", F.lit(" act"))).alias("code"))
-    scope = named.unionByName(years).distinct().withColumn("_kind", kind_of(F.col("code")))
-    scope = scope.groupBy(F.col(key).alias("_k"), F.col("_t").alias("_u")).agg(F.count_if(F.col("_kind") == "s").alias("_s"), F.count_if(F.col("_kind") == "r").alias("_r"))
-
-    # A match within a title ("... Regulations 1995") is part of the title. Titles don't overlap: the last begun is the only one that can hold it.
-    found = _with_ahead(docs, key, text, REFERENCE, AHEAD, ["_t"])
-    marks = titles.select(key, "_t", "start", "stop", F.lit(None).cast("string").alias("words"), F.lit(None).cast("string").alias("ahead"))
-    until = F.last(F.when(F.col("words").isNull(), F.col("stop")), ignorenulls=True).over(Window.partitionBy(key, "_t").orderBy("start", F.col("words").isNotNull()))
-    real = found.unionByName(marks).withColumn("_until", until).where("words is not null and (_until is null or stop > _until)")
-    row = Window.partitionBy(key, "_t").orderBy("start")
-    real = real.withColumn("_before", F.lag("start").over(row)).where("_before is null or _before < start")
-    gap = F.lead("start").over(row) - F.col("stop")
-    window = F.substring_index(F.substring(F.col("ahead"), F.lit(1), F.coalesce(gap, F.lit(AHEAD))), ".", 1)
-    word = F.lower(F.regexp_extract("words", rf"(?i)^{WORD}", 0))
-    symbol = F.when(word.rlike("^(?:sub)?reg"), "r").otherwise("s")
-    rows = real.withColumns({"_window": window, "_symbol": symbol, "_neutral": word.rlike("^(?:sub)?paragraphs?$"), "_list": F.substring(F.col("words"), F.length(word) + F.lit(1), F.length("words"))})
-    rows = rows.withColumn("_named", _named_ahead(F.col("_window"), F.when(~F.col("_neutral"), F.col("_symbol"))))
-    rows = rows.join(scope, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_t") == F.col("_u")), "left")
+    return _in_prose(docs, key, text).dropDuplicates([key, "_t", "id", "seq"]).drop("_t")
+
+
+def _in_prose(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``in_prose`` with a digest ``_t`` of the text, repeated rows each for itself: worked out within the passage's row, nothing is shuffled."""
+    named = F.contains(text, F.lit("Act")) | F.contains(text, F.lit("Regulation"))  # else there is no title
+    titles = F.when(named, F.expr(match_spans(f"`{text}`", INSTRUMENT))).otherwise(F.expr("cast(array() as array<struct<start: int, stop: int, words: string>>)"))
+    years = F.when(named, F.regexp_extract_all(text, F.lit(SHORT_ACT), F.lit(1))).otherwise(F.expr("cast(array() as array<string>)"))
+    found = docs.where(F.col(text).isNotNull()).select(key, F.xxhash64(text).alias("_t"), F.expr(match_spans(f"`{text}`", REFERENCE)).alias("_m"), titles.alias("_titles"), years.alias("_years"), _cut(text).alias("_cut"))
+
+    def code_of(title: Column) -> Column:
+        own = F.lower(F.trim(F.regexp_replace(title["words"], SPACES, " ")))
+        return F.coalesce(_looked_up(TITLES, own), own)
+
+    codes = F.concat(F.transform("_titles", code_of), F.transform("_years", lambda y: F.coalesce(_looked_up(ACTS_BY_YEAR, y), F.concat(F.lit("the "), y, F.lit(" act")))))
+    kinds = F.transform(F.array_distinct(codes), kind_of)
+    # A match within a title ("... Regulations 1995") is part of the title; a block of matches meets only the titles that reach into it.
+    blocks = f"transform(sequence(0, (size(_m) - 1) div {BLOCK}), k -> slice(_m, k * {BLOCK} + 1, {BLOCK}))"
+    beside = f"transform({blocks}, b -> named_struct('b', b, 't', filter(_titles, t -> t.stop >= b[0].stop and t.start <= element_at(b, -1).start)))"
+    real = f"if(size(_titles) = 0, _m, flatten(transform({beside}, x -> filter(x.b, m -> not exists(x.t, t -> t.start <= m.start and t.stop >= m.stop)))))"
+    found = found.select(key, "_t", "_cut", F.expr(real).alias("_m"), kinds.alias("_kinds"))
+    found = found.select(key, "_t", "_cut", "_m", *[F.expr(f"size(filter(_kinds, x -> x = '{kind}'))").alias(f"_{kind}") for kind in "sr"])
+
+    # The words after a match end where the next match begins.
+    ahead = _ahead(f"least({AHEAD}, coalesce(get(_m, i + 1).start - m.stop, {AHEAD}))")
+    real = found.select(key, "_t", "_s", "_r", F.inline(F.expr(f"transform(_m, (m, i) -> named_struct('start', m.start, 'words', m.words, '_window', substring_index({ahead}, '.', 1)))")))
+    size = F.length(F.regexp_extract("words", rf"(?i)^{WORD}", 0))
+    symbol = F.when(F.col("words").rlike("(?i)^(?:sub)?reg"), "r").otherwise("s")
+    low = F.when(F.contains("_window", F.lit("19")), F.lower("_window"))  # all titles and years have it, and lower case is dear
+    rows = real.withColumns({"_symbol": symbol, "_neutral": F.col("words").rlike("(?i)^(?:sub)?paragraph"), "_list": F.substring(F.col("words"), size + F.lit(1), F.length("words")), "_low": low})
+    rows = rows.withColumn("_named", _named_ahead(F.col("_window"), F.col("_low"), F.when(~F.col("_neutral"), F.col("_symbol"))))
     explicit = F.col("_named").isNotNull()
     rows = rows.select(
-        key, "start", F.coalesce("_named.code", _looked_up(DEFAULTS, F.col("_symbol"))).alias("_code"),
+        key, "_t", "start", F.coalesce("_named.code", _looked_up(DEFAULTS, F.col("_symbol"))).alias("_code"),
         F.when(explicit & F.col("_neutral"), kind_of(F.col("_named.code"))).otherwise(F.col("_symbol")).alias("_symbol"),
         F.when(explicit, "explicit").when(F.when(F.col("_symbol") == "s", F.col("_s")).otherwise(F.col("_r")) > 1, "ambiguous").otherwise("default").alias("certainty"),
         F.trim(F.regexp_replace(F.concat("words", F.coalesce(F.substring(F.col("_window"), F.lit(1), F.col("_named.end")), F.lit(""))), SPACES, " ")).alias("mention"),
@@ -165,7 +184,7 @@ def in_prose(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
     rows = rows.withColumn("_address", canonical(F.col("_address"))).where(held(F.col("_code"), F.col("_symbol"), F.col("_address")))
     ident = F.concat("_code", F.lit("/"), "_symbol", "_address")
-    return rows.select(key, ident.alias("id"), F.lit("regex").alias("extraction"), "certainty", "mention", F.struct(F.col("start").cast("long").alias("at"), F.col("_n").alias("nth")).alias("seq"))
+    return rows.select(key, "_t", ident.alias("id"), F.lit("regex").alias("extraction"), "certainty", "mention", F.struct(F.col("start").cast("long").alias("at"), F.col("_n").alias("nth")).alias("seq"))
 
 
 def _rank() -> Column:
@@ -175,7 +194,7 @@ def _rank() -> Column:
 
 def cited_provisions(docs: DataFrame, links: DataFrame, key: str, text: str, strict: bool = True) -> DataFrame:
     """(key, id, extraction, certainty, mention): one edge for each provision of a passage, by the strongest evidence, the first on ties."""
-    both = linked(links, key, strict).unionByName(in_prose(docs, key, text))
+    both = linked(links, key, strict).unionByName(_in_prose(docs, key, text).drop("_t"))
     return strongest(both, [key, "id"], _rank(), ["seq"]).select(key, "id", "extraction", "certainty", "mention")
 
 

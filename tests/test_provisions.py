@@ -60,3 +60,28 @@ def test_decisions_and_anchors(spark):
     from pyspark.sql import functions as F
 
     assert [r[0] for r in refs.select(inventory.anchor_ref(F.lit("M/P"), F.col("h"))).collect()] == ["M/P/4/5", "M/P/12A", "M/P"]
+
+
+def test_prose_is_read_within_its_row(spark):
+    """Before: four scans of the texts, windows over the matches and a join of the scope."""
+    docs = spark.createDataFrame([(1, "section 5")], "k int, t string")
+    plan = provisions.cited_provisions(docs, spark.createDataFrame([], LINK), "k", "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan and plan.count("LogicalRDD") == 2  # texts and links
+    # Many references and titles in one text: those that end a title are part of it, also beyond the first block of matches.
+    text = "".join(f"section {i} of it, Trade Marks Regulations 1995. " for i in range(1, 701)) + "Trade Marks Regulations 1995(1)"
+    got = provisions.in_prose(spark.createDataFrame([(1, text), (1, text)], "k int, t string"), "k", "t").collect()
+    assert sorted((r["seq"]["at"], r["id"]) for r in got) == [(text.index(f"section {i} of"), f"TMA1995/s{i}") for i in range(1, 701)]
+
+
+def test_spans_by_marks(spark):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from lexquarry.functions.spans import BLOCK, MARK, match_spans
+
+    pattern = r"\bs[0-9]+"
+    texts = ["", "none", "s1", "é😀 s1 xs2 s3", "s1" + MARK + "s2 " + MARK * 2 + "xs3 s4", *["s7 é. " * n for n in (2, BLOCK - 1, BLOCK, BLOCK + 1, 3 * BLOCK)], (MARK + " s9") * (2 * BLOCK + 3)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(-1, None)], "k int, t string").select("k", F.expr(match_spans("t", pattern)).alias("m"))
+    assert "split(t" not in rows._jdf.queryExecution().optimizedPlan().toString()  # a cut by the pattern compiles it for every row
+    assert {r["k"]: r["m"] if r["m"] is None else [tuple(x) for x in r["m"]] for r in rows.collect()} == {-1: None, **{i: [(*m.span(), m[0]) for m in re.finditer(pattern, t, re.A)] for i, t in enumerate(texts)}}
