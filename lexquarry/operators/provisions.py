@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.spans import BLOCK, match_spans
 from ..functions.text import SPACES
+from ..sources.publish import stage
 from .inventory import link_candidates
 from .relations import strongest
 
@@ -222,13 +223,15 @@ def numbered_pages(docs: DataFrame, pages: DataFrame, key: str, text: str, page_
     after chooses the second (explicit); else the first stays, ambiguous if both lead to a page, default if one does.
     """
     found = _with_ahead(docs.where(F.col(text).isNotNull()), key, text, PAGE_NUMBER, AHEAD_OF_PAGE, [page_ref])
-    part, rest = F.regexp_extract("words", PAGE_NUMBER, 1), F.regexp_replace(F.regexp_extract("words", PAGE_NUMBER, 2), r"\.", "/")
+    found = found.withColumns({"_part": F.regexp_extract("words", PAGE_NUMBER, 1), "_rest": F.replace(F.regexp_extract("words", PAGE_NUMBER, 2), F.lit("."), F.lit("/"))})
+    part, rest = F.col("_part"), F.col("_rest")
     home = F.get(F.split(page_ref, "/"), F.lit(1))
     own = F.when(F.startswith(home, F.lit("Part")), F.substring(home, F.lit(5), F.length(home)))
     whole = F.concat(F.lit(f"{prefix}/Part"), F.upper(part), rest)
     within = F.when(F.upper(own) != F.upper(part), F.concat(F.lit(f"{prefix}/Part"), F.upper(own), F.lit("/"), part, rest))
-    local = F.get(F.split("ahead", r"\.(?:\s|$)"), F.lit(0)).rlike(OF_THIS)
-    rows = found.select(key, "start", "words", whole.alias("_whole"), within.alias("_within"), local.alias("_local"))
+    local = F.regexp_extract("ahead", r"^(?s:(.*?))(?:\.(?:\s|$)|\z)", 1).rlike(OF_THIS)
+    # Written once: what is read from the texts is used for the paths and for the rows.
+    rows = stage(found.select(key, "start", "words", whole.alias("_whole"), within.alias("_within"), local.alias("_local")))
     wanted = rows.select(F.explode(F.array("_whole", "_within")).alias("_path")).where("_path is not null").distinct()
     depth = F.size(F.split("_path", "/"))
     up = wanted.select("_path", F.posexplode(F.transform(F.sequence(F.lit(0), depth - 3), lambda n: F.array_join(F.slice(F.split("_path", "/"), 1, depth - n), "/"))).alias("_far", "page"))

@@ -73,6 +73,14 @@ def test_prose_is_read_within_its_row(spark):
     assert sorted((r["seq"]["at"], r["id"]) for r in got) == [(text.index(f"section {i} of"), f"TMA1995/s{i}") for i in range(1, 701)]
 
 
+def test_page_numbers_are_read_once(spark):
+    """Before: texts were read anew for the paths and for the rows."""
+    pages = spark.createDataFrame([("M/Part2",)], "page_ref string")
+    docs = spark.createDataFrame([(1, "M/Part1", "Part 2.3")], "k int, page string, t string")
+    plan = provisions.numbered_pages(docs, pages, "k", "t", "page", "M")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "split(regexp_replace" not in plan
+
+
 def test_spans_by_marks(spark):
     import re
 
