@@ -174,3 +174,10 @@ def test_newest_answer_by_http_date(spark):
     rows = [("u", 200, "old", None, "Wed, 30 Dec 2020 10:00:00 GMT"), ("u", 200, "new", None, "Fri, 01 Jan 2021 10:00:00 GMT"), ("u", 200, "none", None, None)]
     fetched = spark.createDataFrame(rows, "url string, status int, html string, etag string, last_modified string")
     assert [r["html"] for r in incremental.usable(fetched).collect()] == ["new"]
+
+
+def test_graph_joins_are_cut_in_pieces(spark):
+    """Before: adaptive plans put the pieces of the joins together, so a task's sort and distinct pairs grew with the input; and the graph was worked out twice."""
+    plan = catalog.QUERIES["graph_edges"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [l_orderkey") == 2 and f", {catalog._PIECES}" in plan
+    assert "l_orderkey" not in catalog.QUERIES["graph_visible"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
