@@ -30,6 +30,7 @@ from .shared import arrow_batch
 MODEL = "piece_bpe_32k.model"
 SPACE = "\u2581"
 CACHE_BYTES, CACHE_PAIRS, KEPT = 60 << 20, 600_000, 64  # bytes of kept segments, all told; longest one that is kept
+SHORT, NONE = 48, float("-inf")
 
 
 class PieceCoder:
@@ -66,6 +67,23 @@ class PieceCoder:
 
     def merge(self, text: str) -> list[str]:
         """The pieces of known characters by merging best pairs first, leftmost on ties."""
+        return self._merge_short(text) if len(text) <= SHORT else self._merge_long(text)
+
+    def _merge_short(self, text: str) -> list[str]:
+        """One list of the pairs' scores, looked through for each merge: far less work than a heap while it is short."""
+        parts, score = list(text), self.scores.get
+        pairs = [score(a + b, NONE) for a, b in zip(parts, parts[1:])]
+        while pairs and (best := max(pairs)) != NONE:
+            i = pairs.index(best)
+            parts[i : i + 2] = (parts[i] + parts[i + 1],)
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = score(parts[i] + parts[i + 1], NONE)
+            if i:
+                pairs[i - 1] = score(parts[i - 1] + parts[i], NONE)
+        return parts
+
+    def _merge_long(self, text: str) -> list[str]:
         parts, scores = list(text), self.scores
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
         heap: list[tuple[float, int, int]] = []

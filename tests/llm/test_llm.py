@@ -636,3 +636,17 @@ def test_jpeg_thumbnails_use_the_quantiser():
     assert (one != more).any() and abs(more.astype(int) - 128).max() >= abs(one.astype(int) - 128).max()
     with pytest.raises(ValueError, match="baseline"):
         jpeg.decode([media.replace(b"\xff\xc0", b"\xff\xc2", 1)])
+
+
+def test_short_merges_are_those_of_the_heap():
+    import random
+
+    import public_tokenizers
+
+    from lexquarry.llm import pieces
+
+    codec, draw = pieces.coder(public_tokenizers.path(pieces.MODEL)), random.Random(5)
+    chars = sorted(c for c in codec.chars if c.isascii())
+    texts = ["", "a", "aaaa", pieces.SPACE * 5, *("".join(draw.choices(chars, k=draw.randint(1, 60))) for _ in range(300)), *draw.sample(sorted(codec.ids), 300)]
+    for text in texts:
+        assert codec._merge_short(text) == codec._merge_long(text)
