@@ -22,6 +22,7 @@ from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 COMMIT = "seq LONG, run STRING, at STRING, tables STRING"
 WRITTEN = "key string, file string, digest string"
@@ -67,7 +68,7 @@ class Store:
         commit = commit or next(reversed(self.commits()), None)
         held = commit["tables"].get(name) if commit else None
         if not held:
-            return self.spark.createDataFrame([], schema)
+            return self.spark.range(0).where("false").select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema)])
         deltas = [self.spark.read.schema(schema).parquet(x) for x in held["paths"]]
         if not held["key"]:
             return deltas[0]

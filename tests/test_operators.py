@@ -4,6 +4,7 @@ import glob
 import io
 import json
 import os
+import time
 import zipfile
 
 import duckdb
@@ -80,6 +81,14 @@ def test_markup(spark):
     assert markup.page_images(pages).collect()[0]["alt"] is None
 
 
+def test_open_elements_cost_no_more_a_text():
+    root, depth = markup.parsed("<b>x <i>\u200b" * 20_000 + " <a>\xa0</a>y\u200b"), 20_000
+    start = time.process_time()
+    text, spans = markup.flattened(root, frozenset({"a", "b", "i"}))
+    assert time.process_time() - start < 5
+    assert text == "x " * depth + "y" and sorted(a for n, a, _ in spans if n.tag == "b") == list(range(0, 2 * depth, 2)) and [x[1:] for x in spans if x[0].tag == "a"] == [(2 * depth, 2 * depth)]
+
+
 def test_bold_headings_and_headings_without_text(spark):
     html = """<main><h1>Page</h1><h2>Empty</h2><h2>Over</h2><h3>Below</h3><p>a</p><h3>A</h3><p><b>3.1 First</b></p><p>b</p><p><span><em><strong>3.1.2(a): Deep</strong></em></span></p><p>c</p>
     <p><b>3.2</b> in prose</p><p><b>4.1 Another page's</b></p><p><b>3.15% of</b></p><div>loose <strong>3.3 Bare</strong></div><h2>Last one</h2></main>"""

@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from lexquarry.functions import markup
 from lexquarry.operators import runs
 from lexquarry.sources import publish
 
@@ -48,6 +49,20 @@ def test_only_what_moved_is_stamped_and_references_follow(spark, store):
     assert sorted(r[0] for r in rows(store, "sources")) == [f"http://h/{i}" for i in (1, 2, 3)] and dict(rows(store, "sources"))["http://h/2"] == HTML[2]
 
 
+def test_a_run_walks_markup_once(spark, store, monkeypatch):
+    walks, whole = [], markup._mapped
+    monkeypatch.setattr(markup, "_mapped", lambda pages, *x: walks.append(pages.columns) or whole(pages, *x))
+    nav = [*NAV, ("M/Part1/0", "Part1", "http://h/3"), ("M/Part9/1", "Part9", "http://h/8")]
+    runs.carried_out(store, "a", "t1", *frames(spark, [*all_read(), ("http://h/8", 500, None), ("http://h/7", 500, None)], nav))
+    assert len(walks) == 1
+    assert [r[:2] for r in rows(store, "chunks")] == [("M/Part1/0", "M/Part1/0/#1"), ("M/Part1/1", "M/Part1/1/1/1"), ("M/Part1/2", "M/Part1/2/1/2"), ("M/Part2/1", "M/Part2/1/#1")]
+    assert [r[1] for r in rows(store, "refs")] == ["M/Part1/0", "M/Part1/2/1/2"]  # of two pages of a url the first
+    assert len(rows(store, "sources")) == 3 and rows(store, "unreachable") == [("http://h/8", 500)]
+    before = {name: rows(store, name) for name in runs.TABLES}
+    assert runs.carried_out(store, "b", "t2", *frames(spark, [("http://h/3", 304, None), ("http://h/1", 304, None)], nav), force=True) == {}
+    assert {name: rows(store, name) for name in runs.TABLES} == before and len(walks) == 2
+
+
 def test_pages_retire_with_a_complete_run_and_come_back(spark, store):
     runs.carried_out(store, "a", "t1", *frames(spark, all_read()))
     runs.carried_out(store, "b", "t2", *frames(spark, [], NAV[:2]), complete=False)
