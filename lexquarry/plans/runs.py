@@ -141,10 +141,12 @@ def published_run(read):
     store = Store(pages.sparkSession, shared_folder(pages.sparkSession, "published"))
     nav = pages.where("page_id % 9 <> 0")
     runs.carried_out(store, "first", "t1", nav, nav.where("page_id % 4 <> 0").select("url", F.lit(200).alias("status"), "html"))
+    store.swept()  # what the run wrote aside
     # Every third page moved; pages of the first run answer 304 else, and those that it hadn't are read if the nav still has them.
     status = F.when((F.col("page_id") % 3 == 0) | (F.col("page_id") % 4 == 0), 200).otherwise(304)
     html = F.when(F.col("page_id") % 3 == 0, F.concat("html", F.lit("<p>more</p>"))).otherwise(F.col("html"))
     later = nav.where("page_id % 11 <> 0")
     runs.carried_out(store, "second", "t2", later, later.select("url", status.alias("status"), F.when(status == 200, html).alias("html")))
+    store.swept()
     out = store.table("pages", runs.TABLES["pages"]).join(store.table("retired", runs.TABLES["retired"]), "page_ref", "left")
     return out.select("page_ref", "first_seen", "crawled_at", "retired_at")

@@ -6,6 +6,8 @@ import pytest
 
 from lexquarry.functions import markup
 from lexquarry.operators import runs
+from lexquarry.plans import catalog
+from lexquarry.plans import runs as _  # noqa: F401  (registers its queries)
 from lexquarry.sources import publish
 
 NAV = [("M/Part1/1", "Part1", "http://h/1"), ("M/Part1/2", "Part1", "http://h/2"), ("M/Part2/1", "Part2", "http://h/3")]
@@ -63,6 +65,13 @@ def test_a_run_walks_markup_once(spark, store, monkeypatch):
     assert {name: rows(store, name) for name in runs.TABLES} == before and len(walks) == 2
 
 
+def test_the_query_leaves_its_tables_only(spark, monkeypatch):
+    stores, whole = [], publish.Store.commits
+    monkeypatch.setattr(publish.Store, "commits", lambda self: stores.append(self) or whole(self))
+    assert catalog.QUERIES["published_run"](spark, "/root/testdata/sf0.001").count() > 0
+    assert stores[-1].swept() == []
+
+
 def test_pages_retire_with_a_complete_run_and_come_back(spark, store):
     runs.carried_out(store, "a", "t1", *frames(spark, all_read()))
     runs.carried_out(store, "b", "t2", *frames(spark, [], NAV[:2]), complete=False)
